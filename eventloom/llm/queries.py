@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 from .line_dedup import dedup_lines
+from .pseudonyms import KINDS, pseudonymize
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,5 +28,13 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (WHERE h.k IS NOT N
 FROM keyed LEFT JOIN hot h ON keyed.k = h.k GROUP BY doc_id
 """
 
-QUERIES = {"op1_line_dedup": op1_line_dedup}
+def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pseudonymize(read_table(spark, sf_dir, "documents").select("doc_id", "text"), key="eventloom-key-1")
+    is_kind = lambda k: lambda x: x["kind"] == k
+    counts = [F.size(F.filter("found", is_kind(k))).cast("long").alias(f"n_{k}") for k in KINDS]
+    pairs = F.transform("found", lambda x: F.concat_ws(":", x["kind"], x["pseudonym"]))
+    return out.select("doc_id", "text", *counts, F.array_join(pairs, "|").alias("pseudonyms"))
+
+
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op10_pseudonyms": op10_pseudonyms}
 ORACLES = {"op1_line_dedup": OP1_SQL}
