@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 from .line_dedup import dedup_lines
+from .piece_bpe import encode_decode
 from .pseudonyms import KINDS, pseudonymize
+from .token_store import read_tokens, write_tokens
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,5 +38,26 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", *counts, F.array_join(pairs, "|").alias("pseudonyms"))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op10_pseudonyms": op10_pseudonyms}
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer's file is; the folder is the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def digest_pieces(out: DataFrame) -> DataFrame:
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op8_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_pieces(encode_decode(read_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path("piece_bpe_32k.model")))
+
+
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = write_tokens(read_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path("byte_bpe_50k.json"), end_id=2)
+    return read_tokens(shards).select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op10_pseudonyms": op10_pseudonyms, "op8_piece_bpe": op8_piece_bpe, "op2_token_store": op2_token_store}
 ORACLES = {"op1_line_dedup": OP1_SQL}
