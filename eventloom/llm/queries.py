@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 from .line_dedup import dedup_lines
+from .matroska import read_payload, store_texts
 from .piece_bpe import encode_decode
 from .pseudonyms import KINDS, pseudonymize
 from .token_store import read_tokens, write_tokens
@@ -59,5 +60,22 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(shards).select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op10_pseudonyms": op10_pseudonyms, "op8_piece_bpe": op8_piece_bpe, "op2_token_store": op2_token_store}
+def op6_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = store_texts(read_table(spark, sf_dir, "documents").select("doc_id", "text"), drop_text=True)
+    back = read_payload(stored)
+    feature = F.format_string("packets=%d;clusters=%d;cues=%s;ns=%d", "n_packets", "n_clusters", F.col("cues_ok").cast("string"), "duration_ns")
+    payload, size = F.col("payload"), F.octet_length("payload")
+    return back.select(
+        "doc_id",
+        "n_bytes",
+        size.cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.substr(payload, size - 63, F.lit(64))).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        feature.alias("feature"),
+    )
+
+
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op10_pseudonyms": op10_pseudonyms, "op8_piece_bpe": op8_piece_bpe, "op2_token_store": op2_token_store, "op6_matroska": op6_matroska}
 ORACLES = {"op1_line_dedup": OP1_SQL}
