@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
+from .language import held_out, identify, train
 from .line_dedup import dedup_lines
 from .matroska import read_payload, store_texts
 from .piece_bpe import encode_decode
@@ -77,5 +78,11 @@ def op6_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op10_pseudonyms": op10_pseudonyms, "op8_piece_bpe": op8_piece_bpe, "op2_token_store": op2_token_store, "op6_matroska": op6_matroska}
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = train(docs.where(~held_out(F.col("doc_id"))))
+    return identify(docs.select("doc_id", "text"), model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op10_pseudonyms": op10_pseudonyms, "op8_piece_bpe": op8_piece_bpe, "op2_token_store": op2_token_store, "op6_matroska": op6_matroska, "op5_language": op5_language}
 ORACLES = {"op1_line_dedup": OP1_SQL}
