@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
+from .decontaminate import find_leaks
 from .language import held_out, identify, train
 from .line_dedup import dedup_lines
 from .matroska import read_payload, store_texts
@@ -84,5 +85,11 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs.select("doc_id", "text"), model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op10_pseudonyms": op10_pseudonyms, "op8_piece_bpe": op8_piece_bpe, "op2_token_store": op2_token_store, "op6_matroska": op6_matroska, "op5_language": op5_language}
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = find_leaks(docs, read_table(spark, sf_dir, "benchmark")).select("doc_id", F.explode("leaks").alias("x"))
+    return out.select("doc_id", "x.item_id", F.round("x.score", 6).alias("score"), F.round("x.question", 6).alias("question"), F.round("x.answer", 6).alias("answer"))
+
+
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op10_pseudonyms": op10_pseudonyms, "op8_piece_bpe": op8_piece_bpe, "op2_token_store": op2_token_store, "op6_matroska": op6_matroska, "op5_language": op5_language, "op9_decontaminate": op9_decontaminate}
 ORACLES = {"op1_line_dedup": OP1_SQL}
