@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Entries of each of the two generations of a worker's cache.
-GENERATION = 400_000
+GENERATION = 500_000
 
 
 class PieceCache:
@@ -25,19 +25,25 @@ class PieceCache:
 
     def join(self, pieces: list[str]) -> bytes:
         """The ids of the pieces, one after the other."""
-        get = self.new.get
-        got = [get(p) for p in pieces]
-        if None in got:
+        got = list(map(self.new.get, pieces))
+        at: list[int] = []
+        try:
+            while True:
+                at.append(got.index(None, at[-1] + 1 if at else 0))
+        except ValueError:
+            pass
+        if at:
             own: dict[str, bytes] = {}
             missing: list[str] = []
-            for p in {p for p, g in zip(pieces, got) if g is None}:
+            for p in {pieces[i] for i in at}:
                 was = self.old.get(p)
                 if was is None:
                     missing.append(p)
                 else:
                     own[p] = was
             own.update(zip(missing, self.encode(missing)))
-            got = [own[p] if g is None else g for p, g in zip(pieces, got)]
+            for i in at:
+                got[i] = own[pieces[i]]
             self.new.update(own)
             if len(self.new) >= self.generation:
                 self.old, self.new = self.new, {}

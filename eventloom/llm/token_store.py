@@ -16,6 +16,7 @@ Layout, little-endian:
 
 from __future__ import annotations
 
+import re
 import struct
 from collections.abc import Iterator
 
@@ -124,9 +125,19 @@ class Shard:
         return got[start - first * self.block_ids : stop - first * self.block_ids]
 
 
-def cut(text: str) -> list[str]:
-    """Cut a text before single spaces between other characters, where the byte-level pre-tokeniser always cuts."""
+_OTHER_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_ASCII_SPACE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
+
+
+def cut(text: str) -> tuple[str, list[str]]:
+    """Cut a text before single spaces between other characters, where the byte-level pre-tokeniser always cuts.
+
+    Returns the first piece and the others, without the space that each begins with.
+    """
     parts = text.split(" ")
+    if text.isascii() or not _OTHER_SPACE.search(text):
+        if len(text.split()) == 1 + sum(map(text.count, _ASCII_SPACE)):  # no space next to another, or at an end
+            return parts[0], parts[1:]
     out, held = [], parts[0]
     for p in parts[1:]:
         if p and not p[0].isspace() and held and not held[-1].isspace():
@@ -135,15 +146,13 @@ def cut(text: str) -> list[str]:
         else:
             held += " " + p
     out.append(held)
-    return out
-
+    return out[0], [p[1:] for p in out[1:]]
 
-_caches: dict[str, PieceCache] = {}
 
+class WordEncoder:
+    """A byte-level BPE of the tokenizers library, through caches of first and of other pieces."""
 
-def _cache(path: str) -> PieceCache:
-    """Encoder of a byte-level BPE of the tokenizers library, through a cache of words."""
-    if path not in _caches:
+    def __init__(self, path: str) -> None:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -157,8 +166,21 @@ def _cache(path: str) -> PieceCache:
         def encode(pieces: list[str]) -> list[bytes]:
             return [np.array(e.ids, dtype="<u4").tobytes() for e in tok.encode_batch_fast(pieces, add_special_tokens=False)]
 
-        _caches[path] = PieceCache(encode)
-    return _caches[path]
+        self.first = PieceCache(encode, 50_000)
+        self.rest = PieceCache(lambda pieces: encode([" " + p for p in pieces]))
+
+    def encode(self, text: str) -> bytes:
+        first, rest = cut(text)
+        return self.first.join([first]) + self.rest.join(rest)
+
+
+_encoders: dict[str, WordEncoder] = {}
+
+
+def _encoder(path: str) -> WordEncoder:
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
 
 
 _SHARD = "part int, seq int, start long, n_tokens long, doc_ids array<long>, shard binary"
@@ -184,7 +206,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        cache, part = _cache(tokenizer_path), TaskContext.get().partitionId()
+        encode, part = _encoder(tokenizer_path).encode, TaskContext.get().partitionId()
         ids: list[np.ndarray] = []
         names: list[int | None] = []
         seq, before, held = 0, 0, 0
@@ -196,7 +218,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str
 
         for b in small_batches(batches):
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                x = np.concatenate([np.frombuffer(cache.join(cut(t)), dtype="<u4"), end])
+                x = np.concatenate([np.frombuffer(encode(t), dtype="<u4"), end])
                 ids.append(x)
                 names.append(i)
                 held += len(x)
