@@ -10,6 +10,7 @@ from .decontaminate import find_leaks
 from .language import held_out, identify, train
 from .line_dedup import dedup_lines
 from .matroska import read_payload, store_texts
+from .near_dedup import near_duplicates
 from .piece_bpe import encode_decode
 from .pseudonyms import KINDS, pseudonymize
 from .token_store import read_tokens, write_tokens
@@ -91,5 +92,9 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "x.item_id", F.round("x.score", 6).alias("score"), F.round("x.question", 6).alias("question"), F.round("x.answer", 6).alias("answer"))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op10_pseudonyms": op10_pseudonyms, "op8_piece_bpe": op8_piece_bpe, "op2_token_store": op2_token_store, "op6_matroska": op6_matroska, "op5_language": op5_language, "op9_decontaminate": op9_decontaminate}
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"), size=2, threshold=0.8)
+
+
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op10_pseudonyms": op10_pseudonyms, "op8_piece_bpe": op8_piece_bpe, "op2_token_store": op2_token_store, "op6_matroska": op6_matroska, "op5_language": op5_language, "op9_decontaminate": op9_decontaminate, "op4_near_dedup": op4_near_dedup}
 ORACLES = {"op1_line_dedup": OP1_SQL}
