@@ -13,6 +13,7 @@ from .matroska import read_payload, store_texts
 from .near_dedup import near_duplicates
 from .piece_bpe import encode_decode
 from .pseudonyms import KINDS, pseudonymize
+from .substring_dedup import remove_repeats
 from .token_store import read_tokens, write_tokens
 
 
@@ -96,5 +97,10 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"), size=2, threshold=0.8)
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op10_pseudonyms": op10_pseudonyms, "op8_piece_bpe": op8_piece_bpe, "op2_token_store": op2_token_store, "op6_matroska": op6_matroska, "op5_language": op5_language, "op9_decontaminate": op9_decontaminate, "op4_near_dedup": op4_near_dedup}
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op10_pseudonyms": op10_pseudonyms, "op8_piece_bpe": op8_piece_bpe, "op2_token_store": op2_token_store, "op6_matroska": op6_matroska, "op5_language": op5_language, "op9_decontaminate": op9_decontaminate, "op4_near_dedup": op4_near_dedup, "op7_substring_dedup": op7_substring_dedup}
 ORACLES = {"op1_line_dedup": OP1_SQL}
