@@ -13,6 +13,7 @@ from .matroska import read_payload, store_texts
 from .near_dedup import near_duplicates
 from .piece_bpe import encode_decode
 from .pseudonyms import KINDS, pseudonymize
+from .revisits import resolve_revisits
 from .substring_dedup import remove_repeats
 from .token_store import read_tokens, write_tokens
 
@@ -102,5 +103,51 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op10_pseudonyms": op10_pseudonyms, "op8_piece_bpe": op8_piece_bpe, "op2_token_store": op2_token_store, "op6_matroska": op6_matroska, "op5_language": op5_language, "op9_decontaminate": op9_decontaminate, "op4_near_dedup": op4_near_dedup, "op7_substring_dedup": op7_substring_dedup}
-ORACLES = {"op1_line_dedup": OP1_SQL}
+#: Each page is captured twice: the page itself, and later, by another spelling of its URL, a 304 with its tag.
+REVISIT_AFTER = 40_000
+
+
+def page_records(pages: DataFrame) -> DataFrame:
+    header = lambda n, v: F.struct(F.lit(n).alias("name"), v.cast("string").alias("value"))
+    tag = F.md5(F.coalesce("html", F.lit("")))
+    no_date = F.lit(None).cast("string").alias("last_modified")
+    first = pages.select(
+        (F.col("page_id") * 2).alias("record_id"), F.lit("response").alias("kind"), "url", F.col("page_id").alias("ts"), F.lit(200).alias("status"),
+        F.concat(F.lit("W/"), tag).alias("etag"), no_date,
+        F.array(header("content-type", F.lit("text/html")), header("content-length", F.length("html")), header("date", F.col("page_id"))).alias("headers"),
+    )
+    again = pages.select(
+        (F.col("page_id") * 2 + 1).alias("record_id"), F.lit("revisit").alias("kind"), F.concat(F.regexp_replace("url", "#.*$", ""), F.lit("#again")).alias("url"),
+        (F.col("page_id") + REVISIT_AFTER).alias("ts"), F.lit(304).alias("status"), tag.alias("etag"), no_date,
+        F.array(header("content-length", F.lit(0)), header("date", F.col("page_id") + REVISIT_AFTER), header("age", F.lit(0))).alias("headers"),
+    )
+    return first.unionByName(again)
+
+
+def op3_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = resolve_revisits(page_records(read_table(spark, sf_dir, "pages")))
+    text = F.array_join(F.array_sort(F.transform("headers", lambda h: F.concat(h["name"], F.lit("="), h["value"]))), ";")
+    return out.select("record_id", "url", "outcome", "target_id", text.alias("headers"))
+
+
+OP3_SQL = r"""
+WITH p AS (
+  SELECT page_id, md5(coalesce(html, '')) AS tag, length(html) AS n,
+         regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM pages),
+c AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), '^www[0-9]*\.', ''), ':(80|443)$', '') AS host,
+         regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+         list_sort(list_filter(string_split(regexp_extract(rest, '[?](.*)$', 1), '&'),
+                   lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|gclid|fbclid|ref)(=|$)'))) AS params FROM p),
+u AS (SELECT page_id, tag, n, host || path || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS url FROM c),
+m AS (
+  SELECT r.page_id, r.url, r.tag, arg_max(f.page_id, f.page_id) AS target
+  FROM u r LEFT JOIN u f ON f.url = r.url AND f.page_id < r.page_id + 40000 GROUP BY ALL)
+SELECT m.page_id * 2 + 1 AS record_id, m.url, CASE WHEN f.page_id IS NULL THEN 'none' WHEN f.tag = m.tag THEN 'resolved' ELSE 'changed' END AS outcome,
+       f.page_id * 2 AS target_id,
+       CASE WHEN f.tag = m.tag THEN 'age=0;content-length=' || f.n || ';content-type=text/html;date=' || (m.page_id + 40000) END AS headers
+FROM m LEFT JOIN u f ON f.page_id = m.target
+"""
+
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op10_pseudonyms": op10_pseudonyms, "op8_piece_bpe": op8_piece_bpe, "op2_token_store": op2_token_store, "op6_matroska": op6_matroska, "op5_language": op5_language, "op9_decontaminate": op9_decontaminate, "op4_near_dedup": op4_near_dedup, "op7_substring_dedup": op7_substring_dedup, "op3_revisits": op3_revisits}
+ORACLES = {"op1_line_dedup": OP1_SQL, "op3_revisits": OP3_SQL}
