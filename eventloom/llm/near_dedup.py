@@ -26,7 +26,9 @@ REGISTERS = ROWS * BANDS
 MANTISSA = 10
 #: A pair is dropped on its estimate only this far below the threshold: over five standard errors.
 MARGIN = 0.25
-#: Groups whose members differ in component are searched pair by pair up to this many members;
+#: Rounds in which the members of mixed groups are compared with one more centre each.
+STARS = 4
+#: Groups whose members still differ in component are searched pair by pair up to this many members;
 #: larger ones are first cut up by rare shingles.
 WIDE_GROUP = 64
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -225,51 +227,55 @@ def _components(docs: DataFrame, reps: DataFrame, size: int, threshold: float, i
     """(id, component) of all classes with a link."""
     bands = materialize(_bands(reps), "bands")
     centres = bands.groupBy("key").agg(F.min("id").alias("c"), F.max("id").alias("z")).where("c < z").select("key", "c")
-    groups = materialize(bands.join(centres, "key"), "groups")
-    light = reps.select("id", "n", "reg")
+    groups = materialize(bands.hint("merge").join(centres, "key"), "groups")
+    members = groups.select("id").distinct()
+    light = materialize(reps.select("id", "n", "reg").hint("merge").join(members, "id"), "members")
+    own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("t"))
+    sets = materialize(_sets(own.hint("merge").join(members, "id", "left_semi"), size), "sets")
 
-    def judged(pairs: DataFrame, label: str) -> DataFrame:
+    def judged(pairs: DataFrame) -> DataFrame:
         a, b = (light.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("reg").alias(f"r{x}")) for x in "ab")
-        likely = materialize(_similar_enough(pairs.join(a, "a").join(b, "b"), threshold), f"likely-{label}")
-        ids = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
-        own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("t")).join(ids, "id", "left_semi")
-        return _confirmed(likely, materialize(_sets(own, size), f"sets-{label}"), threshold)
-
-    star = groups.where("id <> c").select(F.col("c").alias("a"), F.col("id").alias("b")).distinct()
-    first = materialize(judged(star, "star"), "links-star")
-    parts = materialize(components(first), "parts")
-    labelled = groups.join(parts, "id", "left").select("key", "id", F.coalesce("component", "id").alias("l"))
-    mixed = labelled.groupBy("key").agg(F.min("l").alias("l1"), F.max("l").alias("l2"), F.count("*").alias("g")).where("l1 < l2").select("key", "g")
-    open_ = materialize(labelled.join(mixed, "key"), "open")
-    if open_.isEmpty():
-        return parts
+        likely = materialize(_similar_enough(pairs.hint("merge").join(a, "a").hint("merge").join(b, "b"), threshold), "likely")
+        return materialize(_confirmed(likely, sets, threshold), "confirmed")
+
+    tested = materialize(groups.where("id <> c").select(F.col("c").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
+    links = judged(tested)
+    for turn in range(STARS + 1):
+        parts = materialize(components(links), "parts")
+        labelled = groups.join(parts, "id", "left").select("key", "id", F.coalesce("component", "id").alias("l"))
+        mixed = labelled.groupBy("key").agg(F.min("l").alias("l1"), F.max("l").alias("l2"), F.count("*").alias("g")).where("l1 < l2").select("key", "g")
+        open_ = materialize(labelled.join(mixed, "key"), "open")
+        if turn == STARS:
+            break
+        # the largest component of a group gives its next centre, which all members outside of it are compared with
+        sized = open_.groupBy("key", "l").agg(F.count("*").alias("m"), F.min(F.struct(F.xxhash64(F.lit(turn), F.col("id")), "id"))["id"].alias("c"))
+        best = sized.groupBy("key").agg(F.max(F.struct("m", "l", "c")).alias("s")).select("key", "s.l", "s.c").withColumnRenamed("l", "lc")
+        pairs = open_.join(best, "key").where("l <> lc").select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
+        pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        found = judged(pairs)
+        tested, links = tested.unionByName(pairs), links.unionByName(found)
+        if found.isEmpty():
+            break
     x, y = (open_.where(f"g <= {WIDE_GROUP}").select("key", F.col("id").alias(i), F.col("l").alias(f"l{i}")) for i in "ab")
     across = x.join(y, "key").where("a < b and la <> lb").select("a", "b").distinct()
-    wide = open_.where(f"g > {WIDE_GROUP}").select("key", "id", "l")
-    if not wide.isEmpty():
-        across = across.unionByName(_by_rare_shingles(docs, wide, size, threshold, id_col, text_col)).distinct()
-    tested = star.select("a", "b")
-    rest = materialize(across.join(tested, ["a", "b"], "left_anti"), "across")
-    more = materialize(judged(rest, "across"), "links-across")
-    return parts if more.isEmpty() else components(first.unionByName(more))
+    wide = materialize(open_.where(f"g > {WIDE_GROUP}").select("id", "l").distinct(), "wide")
+    across = across.unionByName(_by_rare_shingles(sets, wide, threshold)).distinct()
+    found = judged(materialize(across.join(tested, ["a", "b"], "left_anti"), "pairs"))
+    return parts if found.isEmpty() else components(links.unionByName(found))
 
 
-def _by_rare_shingles(docs: DataFrame, wide: DataFrame, size: int, threshold: float, id_col: str, text_col: str) -> DataFrame:
+def _by_rare_shingles(sets: DataFrame, wide: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) of different components in wide groups that can reach the threshold.
 
     Two sets of similarity t share one of their rarest n - ceil(t n) + 1 shingles, in any
     order common to both; rare first keeps what all members have in common out of the keys.
     """
     percent = round(threshold * 100)
-    ids = wide.select("id").distinct()
-    own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("t")).join(ids, "id", "left_semi")
-    sets = _sets(own, size).select("id", F.size("s").alias("n"), F.explode("s").alias("x"))
-    sets = materialize(sets, "rare")
-    df = sets.groupBy("x").count()
-    ranked = sets.join(df, "x").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("count", "x"))).alias("o"))
-    prefix = ranked.select("id", "n", F.explode(F.slice("o", 1, (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))).alias("o")).select("id", "n", "o.x", "o.count").where("count > 1")
-    labels = wide.select("id", "l").distinct()
-    keyed = materialize(prefix.join(labels, "id"), "prefixes")
+    shingles = sets.join(wide, "id").select("id", "l", F.size("s").alias("n"), F.explode("s").alias("x"))
+    df = shingles.groupBy("x").count()
+    ranked = shingles.join(df, "x").groupBy("id", "l", "n").agg(F.array_sort(F.collect_list(F.struct("count", "x"))).alias("o"))
+    prefix = ranked.select("id", "l", "n", F.explode(F.slice("o", 1, (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))).alias("o"))
+    keyed = materialize(prefix.where("o.count > 1").select("id", "l", "n", "o.x"), "prefixes")
     a, b = (keyed.select("x", F.col("id").alias(i), F.col("n").alias(f"n{i}"), F.col("l").alias(f"l{i}")) for i in "ab")
     return a.join(b, "x").where(f"a < b and la <> lb and 100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct()
 
