@@ -33,31 +33,31 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     need(docs, id_col, text_col)
     base = docs.withColumn(text_col, F.coalesce(docs[text_col].cast("string"), F.lit("")))
-    slim = base.select(row_key(F.col(id_col), F.col(text_col)).alias("_k"), F.split(F.col(text_col), "\n", -1).alias("_l"))
+    slim = base.select(row_key(F.col(id_col), F.col(text_col)).alias("__el_key"), F.split(F.col(text_col), "\n", -1).alias("__el_lines"))
     long_enough = lambda k: F.char_length(k) >= min_chars
 
-    once = slim.select(F.explode(F.array_distinct(F.transform("_l", _key))).alias("_key")).where(long_enough(F.col("_key")))
-    h1, h2 = hash128(F.col("_key"))
-    frequent = once.groupBy(h1.alias("_h1"), h2.alias("_h2")).count().where(F.col("count") >= min_docs).select("_h1", "_h2")
+    once = slim.select(F.explode(F.array_distinct(F.transform("__el_lines", _key))).alias("__el_line")).where(long_enough(F.col("__el_line")))
+    h1, h2 = hash128(F.col("__el_line"))
+    frequent = once.groupBy(h1.alias("__el_h1"), h2.alias("__el_h2")).count().where(F.col("count") >= min_docs).select("__el_h1", "__el_h2")
 
-    lines = slim.select("_k", F.posexplode(F.transform("_l", _key)).alias("_p", "_key")).where(long_enough(F.col("_key")))
-    h1, h2 = hash128(F.col("_key"))
+    lines = slim.select("__el_key", F.posexplode(F.transform("__el_lines", _key)).alias("__el_pos", "__el_line")).where(long_enough(F.col("__el_line")))
+    h1, h2 = hash128(F.col("__el_line"))
     gone = (
-        lines.select("_k", "_p", h1.alias("_h1"), h2.alias("_h2"))
-        .join(frequent, ["_h1", "_h2"], "left_semi")
-        .groupBy("_k")
-        .agg(F.collect_set("_p").alias("_gone"))
+        lines.select("__el_key", "__el_pos", h1.alias("__el_h1"), h2.alias("__el_h2"))
+        .join(frequent, ["__el_h1", "__el_h2"], "left_semi")
+        .groupBy("__el_key")
+        .agg(F.collect_set("__el_pos").alias("__el_gone"))
     )
 
     split = F.split(F.col(text_col), "\n", -1)
     n = F.size(split)
-    kept = F.array_except(F.sequence(F.lit(0), n - 1), F.col("_gone"))
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda p: F.get(split, p)), "\n"))
-    keyed = base.withColumn("_k", row_key(F.col(id_col), F.col(text_col)))
+    kept = F.array_except(F.sequence(F.lit(0), n - 1), F.col("__el_gone"))
+    text = F.when(F.col("__el_gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda p: F.get(split, p)), "\n"))
+    keyed = base.withColumn("__el_key", row_key(F.col(id_col), F.col(text_col)))
     out = [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
-    return keyed.join(gone, "_k", "left").select(
+    return keyed.join(gone, "__el_key", "left").select(
         *(F.col(f"`{c}`") for c in out),
         text.alias(text_col),
         n.cast("long").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce(F.size("__el_gone"), F.lit(0)).cast("long").alias("n_dropped"),
     )

@@ -199,13 +199,13 @@ def encode_decode(docs: DataFrame, model_path: str, text_col: str = "text") -> D
     """
     need(docs, text_col)
     rest = [c for c in docs.columns if c not in ("ids", "decoded")]
-    base = docs.select(*(F.col(f"`{c}`") for c in rest), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_whole"))
-    schema = base.drop("_whole").schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", T.StringType())
+    base = docs.select(*(F.col(f"`{c}`") for c in rest), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("__el_text"))
+    schema = base.drop("__el_text").schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, cache = _encoder(model_path)
         for b in small_batches(batches):
-            parts = [cache.join(bpe.pieces(t)) for t in b.column("_whole").to_pylist()]
+            parts = [cache.join(bpe.pieces(t)) for t in b.column("__el_text").to_pylist()]
             decoded = bpe.processor.decode([np.frombuffer(p, dtype="<i4").tolist() for p in parts], num_threads=1)
             kept = [b.column(c) for c in rest]
             yield pa.RecordBatch.from_arrays([*kept, id_lists(parts), pa.array(decoded, pa.string())], names=[*rest, "ids", "decoded"])
