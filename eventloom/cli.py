@@ -8,6 +8,8 @@ import os
 import sys
 from collections.abc import Sequence
 
+from pyspark.sql import functions as F
+
 from .operators import codes, crossref
 from .operators.predicate import unrecognized_codes
 from .operators.sampling import FileIndex, FilteredSampler, sample_daily
@@ -15,7 +17,7 @@ from .plans import config as configs
 from .plans import stages
 from .sources.ingest import export, read_parquet_dir
 from .sources.listing import RemoteFile, scrape
-from .sources.periods import PARSERS, check_window, select_files
+from .sources.periods import check_window, overlaps, period_columns
 from .sources.specs import DATASETS, spec
 
 
@@ -79,11 +81,12 @@ def _spark():
 
 
 def _table(spark, cfg: dict, dataset: str, source: str, start: str | None = None, end: str | None = None):
-    folder = os.path.join(configs.folder(cfg, dataset, source), "table")
-    if start or end:
-        files = sorted(os.path.join(folder, f) for f in os.listdir(folder) if f.endswith(".parquet"))
-        return read_parquet_dir(spark, *select_files(files, start, end, PARSERS[spec(dataset).period]))
-    return read_parquet_dir(spark, folder)
+    """A stage's table; with a window, the rows whose raw file's period touches it, or has none."""
+    df = read_parquet_dir(spark, os.path.join(configs.folder(cfg, dataset, source), "table"))
+    if not (start or end):
+        return df
+    first, last = period_columns(F.col("_src_file"), spec(dataset).period)
+    return df.where(overlaps(first, last, start, end, keep_undated=True))
 
 
 def _sample(args: argparse.Namespace, cfg: dict) -> None:

@@ -17,6 +17,8 @@ from ..sources.specs import spec
 
 log = logging.getLogger(__name__)
 
+#: Where a row stood in the raw files, as the ingest writes it.
+PLACE = ("_src_file", "_src_row")
 RECORD_MODES = ("all", "latest", "earliest")
 #: Optional columns of mentions that come along.
 MENTION_EXTRA = ("MentionTimeDate", "Confidence")
@@ -32,7 +34,7 @@ def require(df: DataFrame, *columns: str) -> None:
 
 def _chosen(df: DataFrame, columns: list[str] | None, always: str) -> list[str]:
     if columns is None:
-        return df.columns
+        return [c for c in df.columns if c not in PLACE]
     unknown = set(columns) - set(df.columns)
     if unknown:
         raise ValueError(f"unknown columns: {sorted(unknown)}")
@@ -95,7 +97,9 @@ def file_order() -> list[Column]:
 
 
 def with_file_order(df: DataFrame) -> DataFrame:
-    """Carry a row's place through later shuffles, as _src_file and _src_row."""
+    """Carry a row's place through later shuffles, as _src_file and _src_row; a table that has these from its ingest keeps them."""
+    if set(PLACE) <= set(df.columns):
+        return df
     name, row = file_order()
     return df.select("*", name.alias("_src_file"), row.alias("_src_row"))
 
@@ -121,7 +125,7 @@ def two_hop(
     bridge = mentions
     if dedupe_mentions:
         if mention_ties is None:
-            bridge, mention_ties = with_file_order(mentions), [_q("_src_file"), _q("_src_row")]
+            bridge, mention_ties = with_file_order(mentions), list(map(_q, PLACE))
         # only the sample's mentions are ranked
         ids = events.select(_q(event_id).alias("_wanted")).distinct()
         bridge = bridge.join(ids, _q(mention_event) == _q("_wanted"), "left_semi")
@@ -130,7 +134,7 @@ def two_hop(
     bridge = bridge.select(_q(mention_event).alias("_m_event"), _q(mention_doc).alias("_m_doc"), *(_q(c).alias(f"Mention_{c}") for c in extras), *counted)
     if on_duplicate_document != "all":
         if record_order is None:
-            articles, record_order = with_file_order(articles), [_q("_src_file"), _q("_src_row")]
+            articles, record_order = with_file_order(articles), list(map(_q, PLACE))
         articles = one_record(articles, article_doc, on_duplicate_document, record_order)
     right = articles.select(*(_q(c).alias(prefix + c) for c in chosen))
     joined = events.join(bridge, _q(event_id) == _q("_m_event")).join(right, _q("_m_doc") == _q(prefix + article_doc))

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import crossref
 from ..operators.clean import clean, split_present
 from ..sources.ingest import check_arity, parse_tsv, read_zips, write_flat, write_hive
 from ..sources.periods import PARSERS, select_files, sort_files
@@ -63,7 +64,7 @@ def convert(spark: SparkSession, raw: str, out: str, dataset: str, columns: list
 
 
 def filter_files(spark: SparkSession, converted: str, out: str, dataset: str, check: list[str], keep: list[str] | None = None, float32: list[str] | None = None, compression: str = "zstd", start_date: str | None = None, end_date: str | None = None, order: str = "asc", force: bool = False, dry_run: bool = False, delete_source: bool = False) -> StageResult:
-    """Clean pending Parquet files in one job; row counts come from the same pass.
+    """Clean pending Parquet files in one job; row counts come from the same pass.  A row's place in the raw files stays.
 
     If no column to check exists nothing is written, marked or deleted, and the files are reported as skipped.
     """
@@ -76,7 +77,7 @@ def filter_files(spark: SparkSession, converted: str, out: str, dataset: str, ch
     have, _ = split_present(rows, check)
     if check and not have:
         return StageResult(skipped=[*done, *todo])
-    result, before, after = _observed(rows, check, keep, float32)
+    result, before, after = _observed(rows, check, [*keep, *crossref.PLACE] if keep else keep, float32)
     write_flat(result, os.path.join(out, "table"), compression, "append")
     _finish(spark, manifest, todo, "filter", print_, delete_source)
     return StageResult(processed=todo, skipped=done, rows_before=before.get["n"], rows_after=after.get["n"])

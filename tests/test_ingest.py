@@ -1,4 +1,5 @@
 import hashlib
+import json
 import os
 import zipfile
 from datetime import date
@@ -62,7 +63,7 @@ def test_convert_filter_resume(spark, tmp_path):
     assert stages.convert(spark, str(raw), out, "events").processed == []
     got = stages.filter_files(spark, f"{out}/table", kept, "events", ["GlobalEventID", "absent"], ["Day", "GlobalEventID", "nope"])
     assert (got.rows_before, got.rows_after) == (6, 6)
-    assert spark.read.parquet(f"{kept}/table").columns == ["Day", "GlobalEventID"]
+    assert spark.read.parquet(f"{kept}/table").columns == ["Day", "GlobalEventID", "_src_file", "_src_row"]
     none = stages.filter_files(spark, f"{out}/table", str(tmp_path / "x"), "events", ["absent"])
     assert none.processed == [] and none.skipped and not os.path.exists(tmp_path / "x" / "table")
 
@@ -154,6 +155,28 @@ def test_commands(tmp_path, capsys, monkeypatch):
     assert args.n == 5 and args.seed == 42
 
 
+def test_sample_and_crossref_commands(spark, tmp_path, capsys, monkeypatch):
+    """From zips to a sample and its articles by the commands alone."""
+    monkeypatch.chdir(tmp_path)
+    (tmp_path / config.DEFAULT_PATH).write_text(json.dumps({"root": str(tmp_path / "data")}))
+    sample, joined = str(tmp_path / "s.parquet"), str(tmp_path / "x.parquet")
+    for d in ("raw", "mentions_raw", "gkg_v2_raw"):
+        (tmp_path / "data" / d).mkdir(parents=True)
+    for day in (20200101, 20200102):
+        zipped(tmp_path / "data/raw" / f"{day}.export.CSV.zip", "\n".join(event_line(day * 10 + i, day) for i in range(4)))
+        zipped(tmp_path / "data/gkg_v2_raw" / f"{day}000000.gkg.csv.zip", "\t".join([f"REC{day}", str(day), "1", "x", "doc"] + [""] * 22))
+    zipped(tmp_path / "data/mentions_raw/20200101000000.mentions.CSV.zip", "\t".join(["202001010", "1", "2", "1", "s", "doc", "1", "0", "0", "0", "1", "90", "5", "0.5", "", ""]))
+    for d in ("events", "mentions", "gkg_v2"):
+        for stage in ("convert", "filter"):
+            assert main([stage, "--dataset", d, "-q"]) == 0
+    assert main(["sample", "--mode", "filtered", "-n", "9", "--start-date", "2020-01-01", "--end-date", "2020-01-01", "--out", sample]) == 0
+    assert spark.read.parquet(sample).count() == 4
+    assert main(["crossref", "--events", sample, "--on-duplicate-document", "latest", "--collapse-duplicate-mentions", "--out", joined]) == 0
+    row = spark.read.parquet(joined).collect()
+    assert [(r.GlobalEventID, r.GKG_GKGRECORDID, r.Mention_Count) for r in row] == [(202001010, "REC20200102", 1)]
+    assert main(["sample", "--mode", "indexed", "-n", "99"]) == 1 and "99 rows" in capsys.readouterr().err
+
+
 def test_export(spark, tmp_path):
     df = spark.range(3)
     assert ingest.export(df, str(tmp_path / "a.parquet"), "csv").endswith("a.csv")
