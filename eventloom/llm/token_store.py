@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,8 @@ _HEAD, _FOOT = struct.Struct("<4sBBH"), struct.Struct("<IIIIQQ4s")
 BLOCK_IDS = 1 << 16
 #: Ids after which a shard is closed; one document more may go beyond it.
 SHARD_IDS = 1 << 20
+#: Words that are new to a worker are encoded this many at a time.
+WORDS_AT_ONCE = 200
 _BITS = 32
 
 
@@ -163,11 +166,31 @@ class WordEncoder:
             raise ValueError("only byte-level BPE without normaliser or added space can be encoded word by word")
         tok.encode_special_tokens = True  # a text that spells a special token stays text
 
-        def encode(pieces: list[str]) -> list[bytes]:
-            return [np.array(e.ids, dtype="<u4").tobytes() for e in tok.encode_batch_fast(pieces, add_special_tokens=False)]
-
-        self.first = PieceCache(encode, 50_000)
-        self.rest = PieceCache(lambda pieces: encode([" " + p for p in pieces]))
+        self.tokenizer = tok
+        #: Tokens that begin with a space, as the byte-level alphabet writes it.
+        self.spaced = np.zeros(tok.get_vocab_size(), dtype=bool)
+        self.spaced[[i for t, i in tok.get_vocab().items() if t.startswith("Ġ")]] = True
+        self.first = PieceCache(self._each, 50_000)
+        self.rest = PieceCache(self._words)
+
+    def _each(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that follow a space: many at once, cut again before each token that begins with a space."""
+        single = [p for p in pieces if " " not in p]
+        known: dict[str, bytes] = {}
+        for at in range(0, len(single), WORDS_AT_ONCE):
+            some = single[at : at + WORDS_AT_ONCE]
+            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, dtype="<u4")
+            cuts = (np.nonzero(self.spaced[ids])[0] * 4).tolist()
+            if len(cuts) != len(some):
+                raise AssertionError("each word begins one token with a space")
+            data = ids.tobytes()
+            known.update(zip(some, (data[a:b] for a, b in zip(cuts, [*cuts[1:], len(data)]))))
+        other = [p for p in pieces if " " in p]
+        known.update(zip(other, self._each([" " + p for p in other])))
+        return [known[p] for p in pieces]
 
     def encode(self, text: str) -> bytes:
         first, rest = cut(text)
