@@ -56,9 +56,14 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the shared folder and read it again: it cuts the lineage and is computed once."""
+def materialize(df: DataFrame, label: str, tasks: int | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it again: it cuts the lineage and is computed once.
+
+    `tasks` is how many tasks its measured size is worth, at most; more partitions are merged.
+    """
     spark = df.sparkSession
+    if tasks:
+        df = df.coalesce(tasks)
     path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     _written.setdefault(spark.sparkContext.applicationId, []).append(path)

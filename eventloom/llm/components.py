@@ -7,32 +7,43 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
+#: Links that one task takes.
+LINKS_A_TASK = 250_000
+
+
+def _tasks(rows: int) -> int:
+    return 4 + rows // LINKS_A_TASK
+
+
+def _state(edges: DataFrame) -> tuple[int, bool]:
+    """(links, are all parts stars?): does every node have one way down, to a node with none?"""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(edges.select(F.col("v").alias("id"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    nodes = ends.groupBy("id").agg(F.sum("down").alias("down"), F.sum("up").alias("up"))
+    n, most, mixed = nodes.agg(F.sum("down"), F.max("down"), F.max(F.least("down", "up"))).first()
+    return n or 0, (most or 0) <= 1 and not mixed
+
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, component): for each id in a link, the smallest id reachable.  Links are undirected; repeats do no harm.
 
     Each round links every node to the smallest id seen among its neighbours and
     itself, first towards larger nodes, then towards smaller ones, so paths shorten
-    by half or more; rounds end when no link changes.  Both steps sum over a node with
-    map-side combining, and a node of very many links is split by the join.
-    The rounds' tables lie in the shared folder; nothing comes to the driver but a count.
+    by half or more; it ends when every part is a star around its smallest node.  Both steps sum
+    over a node with map-side combining, and a node of very many links is split by the join.
+    The rounds' tables lie in the shared folder; only counts come to the driver.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     edges = materialize(edges, "links")
-    before = None
-    while True:
+    rows, done = _state(edges)
+    while not done:
         # large star: every larger neighbour of u, and u, points to the least of u's neighbourhood
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialize(large.where("u <> v").distinct(), "links")
+        large = both.join(least, "u").where("v > u and m < v").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = materialize(large, "links", _tasks(rows))
         # small star: u and its smaller neighbours point to the least of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.withColumnRenamed("m", "v"))
-        edges = materialize(small.where("u <> v").distinct(), "links")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
-                edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-            )
-        before = now
+        edges = materialize(small.where("u <> v").distinct(), "links", _tasks(rows))
+        rows, done = _state(edges)
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())

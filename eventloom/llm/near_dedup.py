@@ -228,6 +228,8 @@ def _components(docs: DataFrame, reps: DataFrame, size: int, threshold: float, i
     bands = materialize(_bands(reps), "bands")
     centres = bands.groupBy("key").agg(F.min("id").alias("c"), F.max("id").alias("z")).where("c < z").select("key", "c")
     groups = materialize(bands.hint("merge").join(centres, "key"), "groups")
+    rows = groups.count()  # all that follows is in proportion to it
+    few, some = 4 + rows // 250_000, 8 + rows // 30_000
     members = groups.select("id").distinct()
     light = materialize(reps.select("id", "n", "reg").hint("merge").join(members, "id"), "members")
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("t"))
@@ -235,32 +237,32 @@ def _components(docs: DataFrame, reps: DataFrame, size: int, threshold: float, i
 
     def judged(pairs: DataFrame) -> DataFrame:
         a, b = (light.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("reg").alias(f"r{x}")) for x in "ab")
-        likely = materialize(_similar_enough(pairs.hint("merge").join(a, "a").hint("merge").join(b, "b"), threshold), "likely")
-        return materialize(_confirmed(likely, sets, threshold), "confirmed")
+        likely = materialize(_similar_enough(pairs.hint("merge").join(a, "a").hint("merge").join(b, "b"), threshold), "likely", some)
+        return materialize(_confirmed(likely, sets, threshold), "confirmed", some)
 
-    tested = materialize(groups.where("id <> c").select(F.col("c").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
+    tested = materialize(groups.where("id <> c").select(F.col("c").alias("a"), F.col("id").alias("b")).distinct(), "pairs", few)
     links = judged(tested)
     for turn in range(STARS + 1):
-        parts = materialize(components(links), "parts")
+        parts = materialize(components(links), "parts", few)
         labelled = groups.join(parts, "id", "left").select("key", "id", F.coalesce("component", "id").alias("l"))
         mixed = labelled.groupBy("key").agg(F.min("l").alias("l1"), F.max("l").alias("l2"), F.count("*").alias("g")).where("l1 < l2").select("key", "g")
-        open_ = materialize(labelled.join(mixed, "key"), "open")
+        open_ = materialize(labelled.join(mixed, "key"), "open", few)
         if turn == STARS:
             break
         # the largest component of a group gives its next centre, which all members outside of it are compared with
         sized = open_.groupBy("key", "l").agg(F.count("*").alias("m"), F.min(F.struct(F.xxhash64(F.lit(turn), F.col("id")), "id"))["id"].alias("c"))
         best = sized.groupBy("key").agg(F.max(F.struct("m", "l", "c")).alias("s")).select("key", "s.l", "s.c").withColumnRenamed("l", "lc")
         pairs = open_.join(best, "key").where("l <> lc").select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
-        pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "pairs", few)
         found = judged(pairs)
         tested, links = tested.unionByName(pairs), links.unionByName(found)
         if found.isEmpty():
             break
     x, y = (open_.where(f"g <= {WIDE_GROUP}").select("key", F.col("id").alias(i), F.col("l").alias(f"l{i}")) for i in "ab")
     across = x.join(y, "key").where("a < b and la <> lb").select("a", "b").distinct()
-    wide = materialize(open_.where(f"g > {WIDE_GROUP}").select("id", "l").distinct(), "wide")
+    wide = materialize(open_.where(f"g > {WIDE_GROUP}").select("id", "l").distinct(), "wide", few)
     across = across.unionByName(_by_rare_shingles(sets, wide, threshold)).distinct()
-    found = judged(materialize(across.join(tested, ["a", "b"], "left_anti"), "pairs"))
+    found = judged(materialize(across.join(tested, ["a", "b"], "left_anti"), "pairs", some))
     return parts if found.isEmpty() else components(links.unionByName(found))
 
 
