@@ -26,6 +26,8 @@ REGISTERS = ROWS * BANDS
 MANTISSA = 10
 #: A pair is dropped on its estimate only this far below the threshold: over five standard errors.
 MARGIN = 0.25
+#: Smaller sets give registers that hang together too much for the bits' error to hold.
+FEW_SHINGLES = 16
 #: Rounds in which the members of mixed groups are compared with one more centre each.
 STARS = 4
 #: Groups whose members still differ in component are searched pair by pair up to this many members;
@@ -226,10 +228,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, id_c
 def _components(docs: DataFrame, reps: DataFrame, size: int, threshold: float, id_col: str, text_col: str) -> DataFrame:
     """(id, component) of all classes with a link."""
     bands = materialize(_bands(reps), "bands")
-    centres = bands.groupBy("key").agg(F.min("id").alias("c"), F.max("id").alias("z")).where("c < z").select("key", "c")
-    groups = materialize(bands.hint("merge").join(centres, "key"), "groups")
+    shared = bands.groupBy("key").agg(F.count("*").alias("g")).where("g > 1")
+    groups = materialize(bands.hint("merge").join(shared, "key"), "groups")
     rows = groups.count()  # all that follows is in proportion to it
     few, some = 4 + rows // 250_000, 8 + rows // 30_000
+    # a class that meets many others in many bands is likely the source of a family
+    weights = groups.groupBy("id").agg(F.sum("g").cast("double").alias("w"))
+    groups = materialize(groups.select("key", "id").join(weights, "id"), "weighted", few)
     members = groups.select("id").distinct()
     light = materialize(reps.select("id", "n", "reg").hint("merge").join(members, "id"), "members")
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("t"))
@@ -240,17 +245,19 @@ def _components(docs: DataFrame, reps: DataFrame, size: int, threshold: float, i
         likely = materialize(_similar_enough(pairs.hint("merge").join(a, "a").hint("merge").join(b, "b"), threshold), "likely", some)
         return materialize(_confirmed(likely, sets, threshold), "confirmed", some)
 
-    tested = materialize(groups.where("id <> c").select(F.col("c").alias("a"), F.col("id").alias("b")).distinct(), "pairs", few)
+    centres = groups.groupBy("key").agg(F.max(F.struct("w", "id"))["id"].alias("c"))
+    star = groups.join(centres, "key").where("id <> c").select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b"))
+    tested = materialize(star.distinct(), "pairs", few)
     links = judged(tested)
     for turn in range(STARS + 1):
         parts = materialize(components(links), "parts", few)
-        labelled = groups.join(parts, "id", "left").select("key", "id", F.coalesce("component", "id").alias("l"))
+        labelled = groups.join(parts, "id", "left").select("key", "id", "w", F.coalesce("component", "id").alias("l"))
         mixed = labelled.groupBy("key").agg(F.min("l").alias("l1"), F.max("l").alias("l2"), F.count("*").alias("g")).where("l1 < l2").select("key", "g")
         open_ = materialize(labelled.join(mixed, "key"), "open", few)
         if turn == STARS:
             break
         # the largest component of a group gives its next centre, which all members outside of it are compared with
-        sized = open_.groupBy("key", "l").agg(F.count("*").alias("m"), F.min(F.struct(F.xxhash64(F.lit(turn), F.col("id")), "id"))["id"].alias("c"))
+        sized = open_.groupBy("key", "l").agg(F.count("*").alias("m"), F.max(F.struct(F.col("w") * (F.lit(2.0) + F.pmod(F.xxhash64(F.lit(turn), F.col("id")), F.lit(1000)) / 1000), "id"))["id"].alias("c"))
         best = sized.groupBy("key").agg(F.max(F.struct("m", "l", "c")).alias("s")).select("key", "s.l", "s.c").withColumnRenamed("l", "lc")
         pairs = open_.join(best, "key").where("l <> lc").select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
         pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "pairs", few)
@@ -261,7 +268,7 @@ def _components(docs: DataFrame, reps: DataFrame, size: int, threshold: float, i
     x, y = (open_.where(f"g <= {WIDE_GROUP}").select("key", F.col("id").alias(i), F.col("l").alias(f"l{i}")) for i in "ab")
     across = x.join(y, "key").where("a < b and la <> lb").select("a", "b").distinct()
     wide = materialize(open_.where(f"g > {WIDE_GROUP}").select("id", "l").distinct(), "wide", few)
-    across = across.unionByName(_by_rare_shingles(sets, wide, threshold)).distinct()
+    across = across.unionByName(_by_rare_shingles(sets.join(_bits(light), "id"), wide, threshold)).distinct()
     found = judged(materialize(across.join(tested, ["a", "b"], "left_anti"), "pairs", some))
     return parts if found.isEmpty() else components(links.unionByName(found))
 
@@ -273,13 +280,35 @@ def _by_rare_shingles(sets: DataFrame, wide: DataFrame, threshold: float) -> Dat
     order common to both; rare first keeps what all members have in common out of the keys.
     """
     percent = round(threshold * 100)
-    shingles = sets.join(wide, "id").select("id", "l", F.size("s").alias("n"), F.explode("s").alias("x"))
+    bits = [f"b{i}" for i in range(_LONGS)]
+    shingles = sets.join(wide, "id").select("id", "l", *bits, F.size("s").alias("n"), F.explode("s").alias("x"))
     df = shingles.groupBy("x").count()
-    ranked = shingles.join(df, "x").groupBy("id", "l", "n").agg(F.array_sort(F.collect_list(F.struct("count", "x"))).alias("o"))
-    prefix = ranked.select("id", "l", "n", F.explode(F.slice("o", 1, (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))).alias("o"))
-    keyed = materialize(prefix.where("o.count > 1").select("id", "l", "n", "o.x"), "prefixes")
-    a, b = (keyed.select("x", F.col("id").alias(i), F.col("n").alias(f"n{i}"), F.col("l").alias(f"l{i}")) for i in "ab")
-    return a.join(b, "x").where(f"a < b and la <> lb and 100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct()
+    ranked = shingles.join(df, "x").groupBy("id", "l", "n", *bits).agg(F.array_sort(F.collect_list(F.struct("count", "x"))).alias("o"))
+    prefix = ranked.select("id", "l", "n", *bits, F.explode(F.slice("o", 1, (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))).alias("o"))
+    keyed = materialize(prefix.where("o.count > 1").select("id", "l", "n", *bits, "o.x"), "prefixes")
+    a, b = (keyed.select("x", F.col("id").alias(i), F.col("n").alias(f"n{i}"), F.col("l").alias(f"l{i}"), *(F.col(c).alias(c + i) for c in bits)) for i in "ab")
+    differ = " + ".join(f"bit_count({c}a ^ {c}b)" for c in bits)
+    # half of the registers that differ have another lowest bit; six standard errors more are let through
+    most = REGISTERS * (1 - threshold) / 2
+    most = int(most + 6 * (REGISTERS * (1 - threshold) / 2 * (1 + threshold) / 2) ** 0.5)
+    return a.join(b, "x").where(f"a < b and la <> lb and 100 * least(na, nb) >= {percent} * greatest(na, nb) and (least(na, nb) < {FEW_SHINGLES} or {differ} <= {most})").select("a", "b").distinct()
+
+
+_LONGS = -(-REGISTERS // 64)
+
+
+def _bits(light: DataFrame) -> DataFrame:
+    """(id, b0, b1, ...): one bit of each register, by which a join compares sketches as it goes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            reg = np.frombuffer(b"".join(b.column("reg").to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
+            odd = np.zeros((len(reg), _LONGS * 64), dtype=np.uint8)
+            odd[:, :REGISTERS] = _mix(reg.astype(np.uint64)) & np.uint64(1)
+            packed = np.packbits(odd, axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column("id"), *(pa.array(np.ascontiguousarray(packed[:, i])) for i in range(_LONGS))], names=["id", *(f"b{i}" for i in range(_LONGS))])
+
+    return light.select("id", "reg").mapInArrow(run, ", ".join(["id long", *(f"b{i} long" for i in range(_LONGS))]))
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
