@@ -102,17 +102,31 @@ def anchors(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np
     return name[chosen], first[chosen], ends[chosen]
 
 
+_powers_of: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers(m: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to n - 1 of an odd number and of its inverse, modulo 2^64."""
+    have = _powers_of.get(m)
+    if have is None or len(have[0]) < n:
+        size = max(1 << 12, 1 << n.bit_length())
+        one = np.ones(1, dtype=np.uint64)
+        have = tuple(np.concatenate([one, np.cumprod(np.full(size - 1, x, dtype=np.uint64))]) for x in (m, pow(m, -1, 2**64)))
+        _powers_of[m] = have
+    return have[0][:n], have[1][:n]
+
+
+def _rolling(h: np.ndarray, window: int, m: int) -> np.ndarray:
+    """The polynomial in m of each window of hashes, as a difference of running sums."""
+    up, down = _powers(m, len(h))
+    total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(_mix(h + np.uint64(m)) * up, dtype=np.uint64)])
+    return _mix((total[window:] - total[:-window]) * down[: len(h) - window + 1])
+
+
 def window_hashes(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit hashes of each window of words: polynomials of the words' hashes, modulo 2^64."""
     h = hashes.view(np.uint64)
-    out = []
-    for m in _P:
-        x = _mix(h + m)
-        acc, k = np.zeros(len(h) - window + 1, dtype=np.uint64), len(h) - window + 1
-        for j in range(window):
-            acc = acc * m + x[j : j + k]
-        out.append(_mix(acc))
-    return out[0], out[1]
+    return _rolling(h, window, int(_P[0])), _rolling(h, window, int(_P[1]))
 
 
 def candidates(hashes: np.ndarray, repeated: np.ndarray, window: int) -> np.ndarray:
@@ -133,7 +147,7 @@ def candidates(hashes: np.ndarray, repeated: np.ndarray, window: int) -> np.ndar
 def covered(hashes: np.ndarray, repeated: np.ndarray, window: int) -> np.ndarray:
     """Which words lie in a window whose first hash is among the repeated ones."""
     out = np.zeros(len(hashes) + 1, dtype=np.int64)
-    x, _ = window_hashes(hashes, window)
+    x = _rolling(hashes.view(np.uint64), window, int(_P[0]))
     at = np.nonzero(np.isin(x, repeated.view(np.uint64)))[0]
     np.add.at(out, at, 1)
     np.add.at(out, at + window, -1)
