@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash128, materialize, need, words
+from .common import SPACE, SPACE_CLASS, hash128, materialize, need, words
 from .near_dedup import _lists, _mix
 from .pieces import small_batches
 
@@ -265,7 +265,11 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
     hits = windows.join(known.select("k"), "k", "left_anti").join(twice, ["h1", "h2"], "left_semi").groupBy("k").agg(F.collect_set("h1").alias("hits"))
     joined = base.join(hits, "k", "left").join(known.select("k", "copied"), "k", "left").withColumn("copied", F.coalesce("copied", F.lit(False)))
     out = _kept_ranges(joined, window)
-    w = words(F.col("t"))
-    kept = F.when(F.col("ranges").isNull(), w).otherwise(F.flatten(F.transform("ranges", lambda r: F.slice(w, r["a"], r["n"]))))
-    out = out.select(F.col("id").alias("doc_id"), F.size(w).cast("long").alias("n_words"), kept.alias("_kept"))
-    return out.select("doc_id", "n_words", (F.col("n_words") - F.size("_kept")).cast("long").alias("n_removed"), F.array_join("_kept", " ").alias("text"))
+    n = F.size(words(F.col("t"))).cast("long")
+    # bound by a lambda, so that the words are split once and not for each range
+    kept = F.get(F.transform(F.array(words(F.col("t"))), lambda w: F.flatten(F.transform("ranges", lambda r: F.slice(w, r["a"], r["n"])))), 0)
+    n_kept = F.aggregate("ranges", F.lit(0).cast("long"), lambda a, r: a + r["n"])
+    whole = F.regexp_replace(F.btrim("t", F.lit(SPACE)), SPACE_CLASS + "+", " ")
+    untouched = F.col("ranges").isNull()
+    text = F.when(untouched, whole).otherwise(F.array_join(kept, " "))
+    return out.select(F.col("id").alias("doc_id"), n.alias("n_words"), F.when(untouched, F.lit(0).cast("long")).otherwise(n - n_kept).alias("n_removed"), text.alias("text"))
