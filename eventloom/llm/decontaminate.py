@@ -4,12 +4,14 @@ The index is inverted, with the largest impact of each term in each block of ite
 A passage is scored against an item only if the sum of its terms' largest impacts
 reaches the threshold, first over all items, then over the item's block; so all items
 above the threshold are found, and few are scored.  A hit counts if it covers the
-item's question and answer word for word.
+item's question and answer word for word; a short answer may have a word changed.
 """
 
 from __future__ import annotations
 
 import math
+import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,6 +30,10 @@ THRESHOLD = 0.6
 #: Share of the n-grams of question and of answer that the passage must hold.
 OVERLAP = 0.6
 GRAM = 3
+#: An answer of fewer words has too few n-grams for a share; its words are looked for where it should stand.
+SHORT_ANSWER = 8
+#: Share of a short answer's words that must stand there, and words that may have come between.
+SHORT_OVERLAP, SHORT_SLACK = 0.5, 2
 #: A passage is this many words; passages begin every PASSAGE / 2 words, and items are
 #: indexed in parts of at most PASSAGE / 2 words, so each part lies whole in a passage.
 PASSAGE = 128
@@ -36,12 +42,13 @@ BLOCK_ITEMS = 8
 DENSE_BOUNDS = 16_000_000
 #: Characters of test items in one index; more are taken in several passes.
 INDEX_CHARS = 32_000_000
-_TRIM = ".,;:!?\"'()[]{}<>«»¿¡…-*_|"
+_MARKS = "".join(c for c in map(chr, range(0x300, 0x10000)) if unicodedata.category(c).startswith("M"))
+_WORD = re.compile(rf"[\w{_MARKS}]+")
 
 
 def words(text: str) -> list[str]:
-    """Lower-case words without punctuation around them."""
-    return [w.strip(_TRIM) for w in text.lower().split()]
+    """Lower-case runs of letters, marks and digits, whatever else stands around or between them."""
+    return _WORD.findall(text.lower().replace("_", " "))
 
 
 def _grams(w: list[str]) -> set[tuple[str, ...]]:
@@ -57,19 +64,40 @@ def question_answer(text: str) -> tuple[list[str], list[str]]:
     return (q, a) if q else (a, [])
 
 
+def _short_share(q: list[str], a: list[str], passage: list[str]) -> float:
+    """Share of a short answer's words that stand where the question's n-grams in the passage say the answer is.
+
+    Its last word may have letters glued to it.
+    """
+    n = min(GRAM, len(q))
+    place: dict[tuple[str, ...], list[int]] = {}
+    for i in range(len(q) - n + 1):
+        place.setdefault(tuple(q[i : i + n]), []).append(i)
+    starts = {p + len(q) - i for p in range(len(passage) - n + 1) for i in place.get(tuple(passage[p : p + n]), ())}
+    best = 0
+    for s in starts:
+        there, last = Counter(passage[s : s + len(a) + SHORT_SLACK]), s + len(a) - 1
+        held = sum((there & Counter(a)).values())
+        if last < len(passage) and passage[last] != a[-1] and passage[last].startswith(a[-1]) and not there[a[-1]]:
+            held += 1
+        best = max(best, held)
+    return best / len(a)
+
+
 class Index:
     """Inverted index of parts of test items, impacts scaled so that a part's own score is 1."""
 
     def __init__(self, items: list[tuple[int, str]]) -> None:
         half = PASSAGE // 2
-        self.parts: list[tuple[int, set, set]] = []
+        self.parts: list[tuple[int, list[str], list[str], set, set]] = []
         bags: list[Counter] = []
         for item, text in items:
             q, a = question_answer(text or "")
             whole = q + a
             for at in range(0, len(whole), half):
                 own = whole[at : at + half]
-                self.parts.append((item, _grams(own[: max(0, len(q) - at)]), _grams(own[max(0, len(q) - at) :])))
+                own_q, own_a = own[: max(0, len(q) - at)], own[max(0, len(q) - at) :]
+                self.parts.append((item, own_q, own_a, _grams(own_q), _grams(own_a)))
                 bags.append(Counter(w for w in own if w))
         order = sorted(range(len(bags)), key=lambda i: (sorted(bags[i], key=lambda w: (-bags[i][w], w))[:1], i))  # likeness within blocks
         self.parts, bags = [self.parts[i] for i in order], [bags[i] for i in order]
@@ -149,9 +177,13 @@ class Index:
             own = w[k * half : k * half + PASSAGE]
             held = {n: {tuple(own[i : i + n]) for i in range(len(own) - n + 1)} for n in range(1, GRAM + 1)}
             for i, score in hits:
-                item, q, a = self.parts[i]
-                share = [len(g & held[len(next(iter(g)))]) / len(g) if g else 1.0 for g in (q, a)]
-                if min(share) >= overlap:
+                item, q, a, *grams = self.parts[i]
+                share = [len(g & held[len(next(iter(g)))]) / len(g) if g else 1.0 for g in grams]
+                enough = share[1] >= overlap
+                if share[0] >= overlap and not enough and q and len(a) < SHORT_ANSWER:
+                    short = _short_share(q, a, own)
+                    enough, share[1] = short >= min(overlap, SHORT_OVERLAP), max(share[1], short)
+                if share[0] >= overlap and enough:
                     best = found.setdefault(item, {"item_id": item, "score": 0.0, "question": 0.0, "answer": 0.0})
                     for name, v in zip(("score", "question", "answer"), (score, *share)):
                         best[name] = max(best[name], v)

@@ -403,6 +403,29 @@ def test_leaks(spark):
     assert want <= got and len(got - want) <= 0.1 * len(got)
 
 
+def test_every_item_within_a_document_is_found():
+    """Whatever is glued to it: on the largest table, and on items with answers of one word and more."""
+    big = "/root/testdata/sf0.1"
+    items = duckdb.sql(f"SELECT item_id, text FROM '{big}/benchmark.parquet' ORDER BY 1").fetchall()
+    pairs = duckdb.sql(f"SELECT d.doc_id, i.item_id, d.text FROM '{big}/documents.parquet' d JOIN '{big}/benchmark.parquet' i ON contains(d.text, i.text)").fetchall()
+    index = Index(items)
+    assert len(pairs) > 200 and [(d, i) for d, i, t in pairs if i not in {x["item_id"] for x in index.leaks(t)}] == []
+
+
+def test_short_answers():
+    question = " ".join(f"q{i * 31 % 97}" for i in range(30))
+    items = [(n, f"{question} z{n}. " + " ".join(f"a{n}b{k}" for k in range(n)) + ".") for n in range(1, 8)]
+    index = Index(items)
+    found = lambda t, n: n in {x["item_id"] for x in index.leaks(t)}
+    for n, text in items:
+        answer = text[:-1].split(". ")[1].split()
+        assert all(found(f"before%%%{text}{junk} after", n) for junk in ("", "%%%", "$$$next", "&&& "))
+        assert found(text[:-1] + "glued", n)
+        assert not found(f"{question} z{n}. " + "other words follow here and go on " * 3, n)
+        for k in range(len(answer)) if n > 1 else ():
+            assert found(f"{question} z{n}. " + " ".join("changed" if j == k else w for j, w in enumerate(answer)), n), (n, k)
+
+
 def test_bounds_lose_nothing():
     r = random.Random(9)
     vocabulary = [f"v{i}" for i in range(300)]
