@@ -36,6 +36,7 @@ SHORT_ANSWER = 8
 SHORT_OVERLAP, SHORT_SLACK = 0.5, 2
 #: A passage is this many words; passages begin every PASSAGE / 2 words, and items are
 #: indexed in parts of at most PASSAGE / 2 words, so each part lies whole in a passage.
+#: Parts of longer items only find candidates: the whole item is held against the passages around.
 PASSAGE = 128
 BLOCK_ITEMS = 8
 #: Up to this many entries the bounds of all terms in all blocks are also kept as one dense table.
@@ -56,6 +57,11 @@ def _grams(w: list[str]) -> set[tuple[str, ...]]:
     return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if w else set()
 
 
+def _held(w: list[str]) -> dict[int, set[tuple[str, ...]]]:
+    """All n-grams of a passage, by n."""
+    return {n: {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} for n in range(1, GRAM + 1)}
+
+
 def question_answer(text: str) -> tuple[list[str], list[str]]:
     """The last sentence is the answer, what precedes it the question; a single sentence is a question alone."""
     ends = [i + 1 for i, ch in enumerate(text) if ch in ".?!\n" and text[i + 1 :].strip()]
@@ -85,32 +91,43 @@ def _short_share(q: list[str], a: list[str], passage: list[str]) -> float:
 
 
 class Index:
-    """Inverted index of parts of test items, impacts scaled so that a part's own score is 1."""
+    """Inverted index of parts of test items, impacts scaled so that the own score of a part, and of an item, is 1."""
 
     def __init__(self, items: list[tuple[int, str]]) -> None:
         half = PASSAGE // 2
-        self.parts: list[tuple[int, list[str], list[str], set, set]] = []
+        #: Items: id, question, answer, their n-grams, and for those of several parts the impacts of the item's words.
+        self.items: list[tuple[int, list[str], list[str], set, set, dict[str, float] | None]] = []
+        #: Parts: place in items, words of the item before and after the part.
+        self.parts: list[tuple[int, int, int]] = []
         bags: list[Counter] = []
         for item, text in items:
             q, a = question_answer(text or "")
             whole = q + a
-            for at in range(0, len(whole), half):
-                own = whole[at : at + half]
-                own_q, own_a = own[: max(0, len(q) - at)], own[max(0, len(q) - at) :]
-                self.parts.append((item, own_q, own_a, _grams(own_q), _grams(own_a)))
-                bags.append(Counter(w for w in own if w))
+            n = -(-len(whole) // half)
+            cuts = [k * len(whole) // n for k in range(n + 1)] if n else []  # parts of like size, none of a word or two
+            for at, end in zip(cuts, cuts[1:]):
+                self.parts.append((len(self.items), at, len(whole) - end))
+                bags.append(Counter(whole[at:end]))
+            self.items.append((item, q, a, _grams(q), _grams(a), {} if n > 1 else None))
         order = sorted(range(len(bags)), key=lambda i: (sorted(bags[i], key=lambda w: (-bags[i][w], w))[:1], i))  # likeness within blocks
         self.parts, bags = [self.parts[i] for i in order], [bags[i] for i in order]
         df = Counter(w for b in bags for w in b)
         self.term = {w: i for i, w in enumerate(sorted(df))}
         mean = sum(sum(b.values()) for b in bags) / max(1, len(bags))
         rows: list[list[tuple[int, float]]] = [[] for _ in self.term]
-        for i, b in enumerate(bags):
+
+        def impacts(b: Counter) -> dict[str, float]:
             size = sum(b.values())
             own = {w: math.log(1 + (len(bags) - df[w] + 0.5) / (df[w] + 0.5)) * n * (K1 + 1) / (n + K1 * (1 - B + B * size / mean)) for w, n in b.items()}
             total = sum(own.values())
-            for w, x in own.items():
-                rows[self.term[w]].append((i, x / total))
+            return {w: x / total for w, x in own.items()}
+
+        for i, b in enumerate(bags):
+            for w, x in impacts(b).items():
+                rows[self.term[w]].append((i, x))
+        for _, q, a, _, _, own in self.items:
+            if own is not None:
+                own.update(impacts(Counter(q + a)))
         self.start = np.cumsum([0, *map(len, rows)])
         self.item = np.array([i for r in rows for i, _ in r], dtype=np.int64)
         self.impact = np.array([x for r in rows for _, x in r])
@@ -165,6 +182,7 @@ class Index:
         rows = np.sort(np.lib.stride_tricks.sliding_window_view(rows, PASSAGE)[::half], axis=1)
         rows[:, 1:][rows[:, 1:] == rows[:, :-1]] = other
         found: dict[int, dict] = {}
+        seen: set[tuple[int, int, int]] = set()
         likely = np.nonzero(self.most[rows].sum(axis=1) >= threshold - 1e-9)[0]
         if self.dense is not None and len(likely):
             bounds = [self.dense[rows[part]].sum(axis=1).max(axis=1) for part in np.array_split(likely, -(-len(likely) // 64))]
@@ -174,11 +192,23 @@ class Index:
             hits = self.search(terms[terms != other], threshold)
             if not hits:
                 continue
-            own = w[k * half : k * half + PASSAGE]
-            held = {n: {tuple(own[i : i + n]) for i in range(len(own) - n + 1)} for n in range(1, GRAM + 1)}
+            near = w[k * half : k * half + PASSAGE]
+            near_grams = _held(near)
             for i, score in hits:
-                item, q, a, *grams = self.parts[i]
-                share = [len(g & held[len(next(iter(g)))]) / len(g) if g else 1.0 for g in grams]
+                at, before, after = self.parts[i]
+                item, q, a, q_grams, a_grams, impacts = self.items[at]
+                own, held = near, near_grams
+                if impacts is not None:
+                    span = (at, max(0, k * half - before - half), k * half + PASSAGE + after + half)
+                    if span in seen:
+                        continue
+                    seen.add(span)
+                    own = w[span[1] : span[2]]
+                    score = sum(impacts.get(x, 0.0) for x in set(own))
+                    if score < threshold - 1e-9:
+                        continue
+                    held = _held(own)
+                share = [len(g & held[len(next(iter(g)))]) / len(g) if g else 1.0 for g in (q_grams, a_grams)]
                 enough = share[1] >= overlap
                 if share[0] >= overlap and not enough and q and len(a) < SHORT_ANSWER:
                     short = _short_share(q, a, own)

@@ -426,6 +426,21 @@ def test_short_answers():
             assert found(f"{question} z{n}. " + " ".join("changed" if j == k else w for j, w in enumerate(answer)), n), (n, k)
 
 
+def test_long_items_are_held_whole():
+    word = lambda i: f"w{i * 7919 % 4001}"
+    cases = [(n, m) for n in (55, 64, 120, 300) for m in (1, 10, 100)]
+    items = [(k, " ".join(word(400 * k + i) for i in range(n)) + ". " + " ".join(f"a{k}x{i}" for i in range(m))) for k, (n, m) in enumerate(cases)]
+    index = Index(items)
+    found = lambda t: [x["item_id"] for x in index.leaks(t)]
+    filler = " ".join(f"f{i}" for i in range(150))
+    for k, text in items:
+        question, answer = text.split(". ")
+        assert found(f"{filler} {text} {filler}") == [k] and found(f"{filler} {text.replace(' ', ' %% ', 5)}") == [k]
+        assert found(f"{filler} {question} {filler}") == [] and found(f"{filler} {answer} {filler}") == []
+        assert found(f"{question} {filler} {filler} {filler} {filler} {answer}") == []
+    assert found(items[5][1].split()[-1]) == []
+
+
 def test_bounds_lose_nothing():
     r = random.Random(9)
     vocabulary = [f"v{i}" for i in range(300)]
