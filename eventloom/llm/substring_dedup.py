@@ -25,7 +25,7 @@ from .pieces import small_batches
 
 #: Rounds of recompression.  A symbol of round r covers at most 2^r words, long runs apart.
 ROUNDS = 3
-#: Symbols in an anchor.
+#: Symbols in an anchor; fewer where so many don't fit into the interior of a window.
 CHAIN = 3
 _M = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 _P = (np.uint64(0x9E3779B97F4A7C15 * 3 % 2**64 | 1), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -65,20 +65,49 @@ def anchors(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np
     """(names, first words, ends) of the chosen chains of CHAIN symbols.
 
     From each symbol on, of the chains that lie within the interior's length the one of
-    least name is chosen, so any repeated window holds a chosen chain in both its places.
+    least name is chosen; if none does, the longest shorter chain from there that does.  A
+    single symbol always fits, so any repeated window holds a chosen chain in both its places.
     """
     sym, start = recompress(hashes)
-    n, k = len(hashes), len(sym) - CHAIN + 1
+    n = len(hashes)
     none = np.zeros(0, dtype=np.int64)
-    if n < window or k < 1:
+    if n < window:
+        return none.view(np.uint64), none, none
+    size = interior(window)
+    found = [_least_chains(sym, start, n, size)]
+    # starts with a whole interior after them but no chain of CHAIN symbols in it
+    ends = np.append(start[1:], n)
+    fits = np.zeros(len(sym), dtype=bool)
+    if len(sym) >= CHAIN:
+        fits[: len(sym) - CHAIN + 1] = ends[CHAIN - 1 :] <= start[: len(sym) - CHAIN + 1] + size
+    left = np.nonzero(~fits & (start + size <= n))[0]
+    for c in range(CHAIN - 1, 0, -1):
+        if not len(left):
+            break
+        last = left + c - 1
+        ok = (last < len(sym)) & (ends[np.minimum(last, len(sym) - 1)] <= start[left] + size)
+        at = left[ok]
+        name = sym[at]
+        for j in range(1, c):
+            name = _mix(name * _M[0] + sym[at + j])
+        found.append((_mix(name + np.uint64(c)), start[at], ends[at + c - 1]))
+        left = left[~ok]
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _least_chains(sym: np.ndarray, start: np.ndarray, n: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the chains of CHAIN symbols within `size` words of each symbol's start the one of least name."""
+    k = len(sym) - CHAIN + 1
+    none = np.zeros(0, dtype=np.int64)
+    if k < 1:
         return none.view(np.uint64), none, none
     name = sym[:k]
     for j in range(1, CHAIN):
         name = _mix(name * _M[0] + sym[j : j + k])
     first = start[:k]
     ends = np.append(start[CHAIN:], n)[:k]
-    # chains i..j(i) lie within `interior` words of symbol i's start
-    last = np.searchsorted(ends, first + interior(window), side="right")  # ends grow
+    # chains i..j(i) lie within `size` words of symbol i's start
+    last = np.searchsorted(ends, first + size, side="right")  # ends grow
     width = last - np.arange(k)
     ok = np.nonzero(width > 0)[0]
     if not len(ok):
@@ -235,8 +264,8 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
     A word goes if a window of `window` words that covers it has a word sequence that
     also starts anywhere else, in any row or the same one.  A null, empty or shorter text loses
     nothing; rows of equal text are repeats of each other, whatever their ids; null ids
-    are allowed; an empty table stays empty.  `window` must leave room for a chain of
-    symbols in its interior.
+    are allowed; an empty table stays empty.  `window` must leave room for a
+    symbol of any size in its interior.
 
     Rows are keyed by a hash of their text.  Should two texts share it, both are still
     judged by their own windows.  Windows of texts with exact copies are known to repeat and
@@ -244,7 +273,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
     documents are summed on the map side, and joined by Spark, which splits hot keys.
     """
     need(docs, id_col, text_col)
-    if interior(window) < CHAIN << ROUNDS >> 1:
+    if interior(window) < 1 << ROUNDS:
         raise ValueError("the window is too short for this many rounds")
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     k, k2 = hash128(text)

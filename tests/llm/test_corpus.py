@@ -23,7 +23,7 @@ from eventloom.llm.piece_bpe import PieceBpe, encode_decode, merge_loop
 from eventloom.llm.pieces import PieceCache
 from eventloom.llm.pseudonyms import pseudonymize
 from eventloom.llm.revisits import canonical_url, resolve_revisits
-from eventloom.llm.substring_dedup import anchors, interior, remove_repeats
+from eventloom.llm.substring_dedup import anchors, interior, recompress, remove_repeats
 from eventloom.llm.token_store import Shard, WordEncoder, read_tokens, write_shard, write_tokens
 
 SF = "/root/testdata/sf0.001"
@@ -358,6 +358,46 @@ def test_repeated_windows_share_an_anchor():
     assert interior(35) == 21
 
 
+def named_whole(n):
+    """Phrases of 8 words whose repetition is named by one symbol of 8 words."""
+    out, r = [], np.random.default_rng(11)
+    for _ in range(40000):
+        phrase = r.integers(0, 2**62, 8)
+        if np.diff(recompress(np.tile(phrase, 12))[1])[2:-2].min() == 8:
+            out.append(phrase)
+            if len(out) == n:
+                return out
+    raise AssertionError("too few phrases")
+
+
+def test_cycles_of_one_symbol_share_an_anchor():
+    r = np.random.default_rng(12)
+    for phrase in named_whole(3):
+        for n in range(35, 70):
+            cycle, turn = np.tile(phrase, 10), n % 8
+            a, b = (np.concatenate([r.integers(0, 2**62, 9), cycle[turn : turn + n], r.integers(0, 2**62, 9)]) for _ in "ab")
+            assert set(anchors(a, 35)[0].tolist()) & set(anchors(b, 35)[0].tolist())
+    for window in range(22, 50):
+        for trial in range(30):
+            shared = np.tile(r.integers(0, 2**62, r.integers(2, 12)), 30)[:window]
+            a, b = (np.concatenate([r.integers(0, 2**62, r.integers(0, 9)), shared, r.integers(0, 2**62, r.integers(0, 9))]) for _ in "ab")
+            assert set(anchors(a, window)[0].tolist()) & set(anchors(b, window)[0].tolist())
+
+
+def test_repeated_lines_of_eight_words(spark):
+    r, hashed = random.Random(13), {}
+    vocabulary = [f"v{i}" for i in range(3000)]
+    rows = spark.createDataFrame([(w,) for w in vocabulary], "w string").selectExpr("w", "xxhash64(w) h").collect()
+    hashed = {x.w: x.h for x in rows}
+    lines = []
+    while len(lines) < 2:
+        line = r.sample(vocabulary, 8)
+        if np.diff(recompress(np.tile(np.array([hashed[w] for w in line]), 12))[1])[2:-2].min() == 8:
+            lines.append(" ".join(line))
+    rows = [(1, "\n".join(["x", *[lines[0]] * 12, "y"])), (2, f"a {(lines[1] + ' ') * 6}b"), (3, f"c d {(lines[1] + ' ') * 5}e")]
+    assert repeats(spark.createDataFrame(rows, "doc_id bigint, text string")) == brute_repeats(rows, 35)
+
+
 # 8: pieces
 
 
