@@ -153,7 +153,10 @@ def cut(text: str) -> tuple[str, list[str]]:
 
 
 class WordEncoder:
-    """A byte-level BPE of the tokenizers library, through caches of first and of other pieces."""
+    """A byte-level BPE of the tokenizers library, through caches of first and of other pieces.
+
+    A text that spells an added token (as <|endoftext|>) goes through the library whole.
+    """
 
     def __init__(self, path: str) -> None:
         import os
@@ -164,9 +167,10 @@ class WordEncoder:
         tok = Tokenizer.from_file(path)
         if tok.normalizer is not None or not isinstance(tok.pre_tokenizer, pre_tokenizers.ByteLevel) or tok.pre_tokenizer.add_prefix_space:
             raise ValueError("only byte-level BPE without normaliser or added space can be encoded word by word")
-        tok.encode_special_tokens = True  # a text that spells a special token stays text
-
         self.tokenizer = tok
+        self.added = [t.content for t in tok.get_added_tokens_decoder().values() if t.content]
+        #: Words encoded at once; one where joined words could spell an added token.
+        self.at_once = 1 if any(" " in t[1:] for t in self.added) else WORDS_AT_ONCE
         #: Tokens that begin with a space, as the byte-level alphabet writes it.
         self.spaced = np.zeros(tok.get_vocab_size(), dtype=bool)
         self.spaced[[i for t, i in tok.get_vocab().items() if t.startswith("Ġ")]] = True
@@ -180,8 +184,8 @@ class WordEncoder:
         """Ids of pieces that follow a space: many at once, cut again before each token that begins with a space."""
         single = [p for p in pieces if " " not in p]
         known: dict[str, bytes] = {}
-        for at in range(0, len(single), WORDS_AT_ONCE):
-            some = single[at : at + WORDS_AT_ONCE]
+        for at in range(0, len(single), self.at_once):
+            some = single[at : at + self.at_once]
             ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, dtype="<u4")
             cuts = (np.nonzero(self.spaced[ids])[0] * 4).tolist()
             if len(cuts) != len(some):
@@ -193,6 +197,8 @@ class WordEncoder:
         return [known[p] for p in pieces]
 
     def encode(self, text: str) -> bytes:
+        if any(t in text for t in self.added):
+            return self._each([text])[0]
         first, rest = cut(text)
         return self.first.join([first]) + self.rest.join(rest)
 

@@ -94,6 +94,19 @@ def test_words_encode_as_whole_texts(tokenizer):
         assert np.frombuffer(e.encode(s), "<u4").tolist() == tokenizer.encode(s, add_special_tokens=False).ids, repr(s)
 
 
+def test_added_tokens_as_the_library(spark, tokenizer):
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    assert "<|endoftext|>" in added
+    r, e = random.Random(4), WordEncoder(Q.tokenizer_path("byte_bpe_50k.json"))
+    parts = [*added, "<|endoftext", "|>", "a", " ", "  ", "\n", "é", "the"]
+    texts = ["a <|endoftext|> b", *("".join(r.choices(parts, k=r.randrange(1, 12))) for _ in range(2000))]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(e.encode(t), "<u4").tolist() for t in texts] == want
+    stored = read_tokens(write_tokens(spark.createDataFrame([(0, texts[0]), (1, "c d")], "doc_id bigint, text string"), Q.tokenizer_path("byte_bpe_50k.json"), 2)).collect()
+    assert np.frombuffer(next(x.ids for x in stored if x.doc_id == 0), "<u4").tolist() == [*want[0], 2] == [64, 220, 50256, 275, 2]
+    assert next(x.start for x in stored if x.doc_id == 1) == 5
+
+
 @pytest.mark.parametrize("bits", [False, True])
 def test_shards(bits):
     r = random.Random(1)
