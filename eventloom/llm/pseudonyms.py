@@ -27,7 +27,8 @@ SHAPES = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}(?=@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
     "ip": rf"(?<![0-9A-Za-z.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9A-Za-z]|\.[0-9])",
     "date": r"(?<![0-9A-Za-z-])(?:19|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9A-Za-z]|-[0-9])",
-    "phone": r"(?:\([2-9][0-9]{2}\) |(?<![0-9A-Za-z-])[2-9][0-9]{2}[-.])[2-9][0-9]{2}[-.][0-9]{4}(?![0-9A-Za-z]|-[0-9])",
+    # any digits with the area in brackets or after +1, else only those that the North American plan gives out
+    "phone": r"(?:(?:\([0-9]{3}\) ?|(?<=\+1[-. ])[0-9]{3}[-. ])[0-9]{3}|(?<![0-9A-Za-z-])[2-9][0-9]{2}[-. ][2-9][0-9]{2})[-. ][0-9]{4}(?![0-9A-Za-z]|-[0-9])",
     "ssn": r"(?<![0-9A-Za-z-])(?!000|666)[0-8][0-9]{2}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{1,7}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])",
 }
@@ -35,7 +36,7 @@ _ANY = "|".join(SHAPES.values())
 _ANCHORED = {
     "ip": rf"^{_OCTET}(\.{_OCTET}){{3}}$",
     "date": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
-    "phone": r"^(\([0-9]{3}\) |[0-9]{3}[-.])[0-9]{3}[-.][0-9]{4}$",
+    "phone": r"^(\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}$",
     "ssn": r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$",
     "card": r"^[0-9][0-9 -]{12,22}$",
 }
@@ -108,6 +109,9 @@ def _fields(m: Column, kind: Column) -> Column:
     nl = F.floor((n - 2) / 2).cast("int")
     num = lambda s: s.cast("bigint")
     area, exch, line = (num(F.substring(d, *x)) for x in ((1, 3), (4, 3), (7, 4)))
+    # area and exchange of the plan are permuted among themselves, and so are the other 360,000 pairs
+    planned = (area >= 200) & (exch >= 200)
+    unplanned = F.when(area < 200, area * 1000 + exch).otherwise(200000 + (area - 200) * 200 + exch)
     s_area, s_rest = num(F.substring(d, 1, 3)), (num(F.substring(d, 4, 2)) - 1) * 9999 + num(F.substring(d, 6, 4)) - 1
     oct_ = F.transform(F.split(F.when(kind == "ip", m).otherwise("0.0.0.0"), r"\."), lambda x: x.cast("bigint"))
     day = F.datediff(F.try_to_timestamp(F.when(kind == "date", m), F.lit("yyyy-MM-dd")).cast("date"), F.lit("1900-01-01").cast("date")).cast("bigint")
@@ -122,10 +126,10 @@ def _fields(m: Column, kind: Column) -> Column:
     return F.struct(
         F.when(valid, kind).alias("kind"),
         m.alias("text"),
-        pick(card=n.cast("string"), phone=F.lit(""), ssn=F.lit(""), ip=F.lit(""), date=F.lit(""), email=F.regexp_replace(F.regexp_replace(m, "[a-zA-Z]", "a"), "[0-9]", "9")).alias("shape"),
-        pick(card=num(F.substr(body, F.lit(1), nl)), phone=(area - 200) * 800 + exch - 200, ssn=F.when(s_area > 666, s_area - 2).otherwise(s_area - 1), ip=F.get(oct_, 0) * 256 + F.get(oct_, 1), date=_div(day, _big(_DATE_SPLIT[1])), email=_mixed(left)).alias("l"),
+        pick(card=n.cast("string"), phone=F.when(planned, "").otherwise("unplanned"), ssn=F.lit(""), ip=F.lit(""), date=F.lit(""), email=F.regexp_replace(F.regexp_replace(m, "[a-zA-Z]", "a"), "[0-9]", "9")).alias("shape"),
+        pick(card=num(F.substr(body, F.lit(1), nl)), phone=F.when(planned, (area - 200) * 800 + exch - 200).otherwise(unplanned), ssn=F.when(s_area > 666, s_area - 2).otherwise(s_area - 1), ip=F.get(oct_, 0) * 256 + F.get(oct_, 1), date=_div(day, _big(_DATE_SPLIT[1])), email=_mixed(left)).alias("l"),
         pick(card=num(F.substr(body, nl + 1, n)), phone=line, ssn=s_rest, ip=F.get(oct_, 2) * 256 + F.get(oct_, 3), date=F.pmod(day, _big(_DATE_SPLIT[1])), email=_mixed(right)).alias("r"),
-        pick(card=_power(10, nl), phone=_big(640000), ssn=_big(898), ip=_big(65536), date=_big(_DATE_SPLIT[0]), email=_span(left)).alias("a"),
+        pick(card=_power(10, nl), phone=F.when(planned, _big(640000)).otherwise(_big(360000)), ssn=_big(898), ip=_big(65536), date=_big(_DATE_SPLIT[0]), email=_span(left)).alias("a"),
         pick(card=_power(10, n - 2 - nl), phone=_big(10000), ssn=_big(99 * 9999), ip=_big(65536), date=_big(_DATE_SPLIT[1]), email=_span(right)).alias("b"),
     )
 
@@ -201,7 +205,10 @@ def _written(x: Column, halves: Column, key: str, sign: int) -> Column:
     nl = F.floor((n - 2) / 2).cast("int")
     body = F.concat(F.substring(d, 1, 1), _pad(l, nl), _pad(r, n - 2 - nl))
     card = F.concat(body, F.pmod(10 - F.pmod(luhn_sum(body, 1), F.lit(10)), F.lit(10)).cast("string"))
-    phone = F.concat((_div(l, _big(800)) + 200).cast("string"), (F.pmod(l, _big(800)) + 200).cast("string"), _pad(r, 4))
+    rest = l - 200000
+    area = F.when(x["shape"] == "", _div(l, _big(800)) + 200).when(rest < 0, _div(l, _big(1000))).otherwise(_div(rest, _big(200)) + 200)
+    exch = F.when(x["shape"] == "", F.pmod(l, _big(800)) + 200).when(rest < 0, F.pmod(l, _big(1000))).otherwise(F.pmod(rest, _big(200)))
+    phone = F.concat(_pad(area, 3), _pad(exch, 3), _pad(r, 4))
     ssn = F.concat(_pad(F.when(l >= 665, l + 2).otherwise(l + 1), 3), _pad(_div(r, _big(9999)) + 1, 2), _pad(F.pmod(r, _big(9999)) + 1, 4))
     ip = F.concat_ws(".", *(v.cast("string") for h in (l, r) for v in (_div(h, _big(256)), F.pmod(h, _big(256)))))
     date = F.date_format(F.date_add(F.lit("1900-01-01").cast("date"), (l * _DATE_SPLIT[1] + r).cast("int")), "yyyy-MM-dd")
@@ -236,7 +243,8 @@ def pseudonymize(docs: DataFrame, key: str, text_col: str = "text", restore: boo
     Adds `found`, array<struct(kind, value, pseudonym)> in order of place; an input column
     of that name is replaced.  `restore=True` inverts the permutation under the same key.
 
-    Kinds: card (13-19 digits, Luhn), phone (North American), ssn, ip (dotted quad), date
+    Kinds: card (13-19 digits, Luhn), phone (ten digits with the area code in
+    brackets or after +1, or a number of the North American plan), ssn, ip (dotted quad), date
     (ISO, 1900-2099) and email (the name before the @).  What only looks like one, as a
     number that fails its check, stays.  A null text stays null with nothing found; an
     empty table stays empty; repeated rows get equal results.

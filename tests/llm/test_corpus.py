@@ -544,6 +544,27 @@ def test_pseudonyms(spark):
     assert {r.doc_id: r.text for r in pseudonymize(df, "other").collect()}[0] != got[0].text
 
 
+def test_phones_of_all_codes(spark):
+    big = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").where("text rlike '[(][0-9]{3}[)] [0-9]{3}-[0-9]{4}'")
+    plain = re.compile(r"\([0-9]{3}\) [0-9]{3}-[0-9]{4}")
+    rows = [(r.doc_id, r.text) for r in big.collect()]
+    extra = ["+1 (017) 555-5036", "+1 017-155-5036", "+1-988-555-2485", "+1 988 055 2485", "(988)555 2485", "call 988 555 2485.", "+1.200.199.0000", "+1 (199) 999-9999", "+1 (999) 199-9999", "(000) 000-0000"]
+    rows += [(-i - 1, t) for i, t in enumerate(extra)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = pseudonymize(df, "key").cache()
+    got = {r.doc_id: [x.value for x in r.found if x.kind == "phone"] for r in out.collect()}
+    want = {i: plain.findall(t) for i, t in rows if i >= 0}
+    assert sum(map(len, want.values())) == 159 and all(sorted(got[i]) == sorted(w) for i, w in want.items())
+    assert all(len(got[-i - 1]) == 1 for i in range(len(extra)))
+    assert {r.doc_id: r.text for r in pseudonymize(out.select("doc_id", "text"), "key", restore=True).collect()} == dict(rows)
+    edges = [f"({a:03d}) {e:03d}-1234" for a in (0, 1, 199, 200, 201, 998, 999) for e in (0, 1, 198, 199, 200, 201, 999)]
+    new = [r.text for r in pseudonymize(spark.createDataFrame([(t,) for t in edges], "text string"), "k").collect()]
+    planned = lambda t: t[1] > "1" and t[6] > "1"
+    assert len(set(new)) == len(edges) and all(plain.fullmatch(b) and planned(a) == planned(b) for a, b in zip(edges, new))
+    numbers = ["017-555-5036", "1988 555 2485", "988 555 24856", "12 345 6789"]
+    assert [r.text for r in pseudonymize(spark.createDataFrame([(t,) for t in numbers], "text string"), "k").collect()] == numbers
+
+
 def test_pseudonyms_are_a_permutation(spark):
     """Different values stay different: all days of two years, and neighbouring numbers."""
     from pyspark.sql import functions as F
