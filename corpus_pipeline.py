@@ -19,8 +19,13 @@ from eventloom.llm.queries import digest_pieces, tokenizer_path
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents in no language: a null text, or one without letters."""
+    """Drop documents in no language: a null text, or one without letters.
+
+    Without a label to learn from, only that is looked at.
+    """
     model = train(docs.where(~held_out(F.col("doc_id"))))
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     return identify(docs, model).where(F.col("lang_pred") != UNKNOWN).select(docs.columns)
 
 

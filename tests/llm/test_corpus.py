@@ -605,6 +605,17 @@ def test_pipeline(spark):
     assert [n for n, _ in P.STAGES] == ["language", "lines", "near_duplicates", "benchmark", "pieces"]
 
 
+def test_language_stage_without_labels(spark):
+    import corpus_pipeline as P
+
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 0)
+    texts = [(held, "clean text"), (1001, "один"), (1002, "日本"), (1003, None), (1004, ""), (1005, "12 34 !_\n")]
+    for label in (None, "en"):  # en: on the held-out row only
+        rows = [(i, t, label if i == held else None) for i, t in texts]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+        assert sorted(r.doc_id for r in P.language_stage(spark, docs, SF).collect()) == sorted((held, 1001, 1002))
+
+
 def test_pipeline_keeps_columns(spark):
     import corpus_pipeline as P
 
