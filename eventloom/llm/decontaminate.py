@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import need
+from .common import materialize, need
 from .pieces import small_batches
 
 K1, B = 1.2, 0.75
@@ -70,6 +70,12 @@ def question_answer(text: str) -> tuple[list[str], list[str]]:
     return (q, a) if q else (a, [])
 
 
+def _cuts(n: int) -> list[int]:
+    """Where the parts of an item of n words begin, and its end: parts are of like size, none of a word or two."""
+    parts = -(-n // (PASSAGE // 2))
+    return [k * n // parts for k in range(parts + 1)] if n else []
+
+
 def _short_share(q: list[str], a: list[str], passage: list[str]) -> float:
     """Share of a short answer's words that stand where the question's n-grams in the passage say the answer is.
 
@@ -93,8 +99,8 @@ def _short_share(q: list[str], a: list[str], passage: list[str]) -> float:
 class Index:
     """Inverted index of parts of test items, impacts scaled so that the own score of a part, and of an item, is 1."""
 
-    def __init__(self, items: list[tuple[int, str]]) -> None:
-        half = PASSAGE // 2
+    def __init__(self, items: list[tuple[int, str]], counts: tuple[int, int, dict[str, int]] | None = None) -> None:
+        """`counts`: parts, words in them, and parts by word, of all items if these are not all."""
         #: Items: id, question, answer, their n-grams, and for those of several parts the impacts of the item's words.
         self.items: list[tuple[int, list[str], list[str], set, set, dict[str, float] | None]] = []
         #: Parts: place in items, words of the item before and after the part.
@@ -103,22 +109,24 @@ class Index:
         for item, text in items:
             q, a = question_answer(text or "")
             whole = q + a
-            n = -(-len(whole) // half)
-            cuts = [k * len(whole) // n for k in range(n + 1)] if n else []  # parts of like size, none of a word or two
+            cuts = _cuts(len(whole))
             for at, end in zip(cuts, cuts[1:]):
                 self.parts.append((len(self.items), at, len(whole) - end))
                 bags.append(Counter(whole[at:end]))
-            self.items.append((item, q, a, _grams(q), _grams(a), {} if n > 1 else None))
+            self.items.append((item, q, a, _grams(q), _grams(a), {} if len(cuts) > 2 else None))
         order = sorted(range(len(bags)), key=lambda i: (sorted(bags[i], key=lambda w: (-bags[i][w], w))[:1], i))  # likeness within blocks
         self.parts, bags = [self.parts[i] for i in order], [bags[i] for i in order]
         df = Counter(w for b in bags for w in b)
         self.term = {w: i for i, w in enumerate(sorted(df))}
-        mean = sum(sum(b.values()) for b in bags) / max(1, len(bags))
+        n_parts, n_words = len(bags), sum(sum(b.values()) for b in bags)
+        if counts is not None:
+            n_parts, n_words, df = counts
+        mean = n_words / max(1, n_parts)
         rows: list[list[tuple[int, float]]] = [[] for _ in self.term]
 
         def impacts(b: Counter) -> dict[str, float]:
             size = sum(b.values())
-            own = {w: math.log(1 + (len(bags) - df[w] + 0.5) / (df[w] + 0.5)) * n * (K1 + 1) / (n + K1 * (1 - B + B * size / mean)) for w, n in b.items()}
+            own = {w: math.log(1 + (n_parts - df[w] + 0.5) / (df[w] + 0.5)) * n * (K1 + 1) / (n + K1 * (1 - B + B * size / mean)) for w, n in b.items()}
             total = sum(own.values())
             return {w: x / total for w, x in own.items()}
 
@@ -232,6 +240,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_c
     leaks.  Documents aren't shuffled.  The items go to every task as an index: their
     text is measured first, and beyond INDEX_CHARS characters (of all items, ids by hash)
     they are taken in several passes over the documents, each with an index of bounded size.
+    What a word weighs is counted over all items, so the number of passes changes no result.
     """
     need(docs, text_col)
     need(items, item_col, item_text_col)
@@ -241,13 +250,34 @@ def find_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_c
     rest = [c for c in docs.columns if c != "leaks"]
     out = docs.select(*(F.col(f"`{c}`") for c in rest))
     schema = T.StructType([*out.schema.fields, T.StructField("leaks", T.ArrayType(_LEAK))])
+    slim = slim.withColumn("pass", F.pmod(F.xxhash64("i"), F.lit(passes)))
+    counted = materialize(slim.select("pass", "t").mapInArrow(_count_parts, "pass long, w string, n long").groupBy("pass", "w").agg(F.sum("n").alias("n")), "words") if passes > 1 else None
     for k in range(passes):
-        part = slim.where(F.pmod(F.xxhash64("i"), F.lit(passes)) == k) if passes > 1 else slim
-        index = Index(sorted((r.i, r.t) for r in part.collect()))
+        counts = None
+        if counted is not None:
+            own = counted.where(F.col("pass") == k).select("w")
+            totals = {r.w: int(r.n) for r in counted.join(own, "w", "left_semi").groupBy("w").agg(F.sum("n").alias("n")).collect()}
+            whole = {r.w: int(r.n) for r in counted.where("w in (' parts', ' words')").groupBy("w").agg(F.sum("n").alias("n")).collect()}
+            counts = (whole.get(" parts", 0), whole.get(" words", 0), totals)
+        index = Index(sorted((r.i, r.t) for r in slim.where(F.col("pass") == k).select("i", "t").collect()), counts)
         out = out.mapInArrow(_scan(index, rest, text_col, threshold, overlap), schema)
     return out
 
 
+def _count_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(pass, word, parts that have it); all parts and their words under two names that no word has."""
+    for b in small_batches(batches, rows=512):
+        n: Counter = Counter()
+        for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            q, a = question_answer(t)
+            whole = q + a
+            cuts = _cuts(len(whole))
+            n[k, " parts"] += max(0, len(cuts) - 1)
+            n[k, " words"] += len(whole)
+            n.update((k, w) for at, end in zip(cuts, cuts[1:]) for w in set(whole[at:end]))
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in n], pa.int64()), pa.array([w for _, w in n], pa.string()), pa.array(list(n.values()), pa.int64())], names=["pass", "w", "n"])
+
+
 def _scan(index: Index, rest: list[str], text_col: str, threshold: float, overlap: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, rows=512):

@@ -509,6 +509,21 @@ def test_bounds_lose_nothing():
             assert [i for i, _ in index.search(terms, 0.3)] == np.nonzero(scores >= 0.3 - 1e-9)[0].tolist()
 
 
+def test_passes_change_nothing(spark, monkeypatch):
+    from eventloom.llm import decontaminate as D
+
+    r = random.Random(15)
+    texts = [(i, " ".join(f"v{int(r.paretovariate(0.6)) % 400}" for _ in range(r.randrange(20, 90)))) for i in range(60)]
+    items = spark.createDataFrame(texts, "item_id bigint, text string")
+    docs = spark.createDataFrame([(i, t.rsplit(" ", len(t.split()) // 4)[0]) for i, t in texts], "doc_id bigint, text string").coalesce(2)
+    rows = lambda: {(r.doc_id, *x) for r in find_leaks(docs, items, threshold=0.3).collect() for x in r.leaks}
+    one = rows()
+    monkeypatch.setattr(D, "INDEX_CHARS", items.selectExpr("sum(length(text)) n").first().n // 5)
+    many = rows()
+    short = lambda found: {(d, i, round(s, 9), q, a) for d, i, s, q, a in found}
+    assert len(one) > 0 and short(many) == short(one)
+
+
 def test_leaks_awkward(spark, awkward, nothing):
     long_item = " ".join(f"w{i * 7919 % 4001}" for i in range(400, 700))
     items = spark.createDataFrame([(1, long_item), (2, None), (3, ""), (4, "zz yy xx. Ww vv uu!")], "item_id bigint, text string")
