@@ -14,6 +14,9 @@ SPACE = " \t\n\x0b\x0c\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+#: Arrow batches between the JVM and Python workers hold no more than this, or one row if it is longer.
+ARROW_BYTES, ARROW_ROWS = 4 << 20, 2000
+
 _written: dict[str, list[str]] = {}
 
 
@@ -70,14 +73,52 @@ def materialize(df: DataFrame, label: str, tasks: int | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> int:
-    """Delete the tables that `materialize` wrote; only when no DataFrame built on them is needed."""
-    paths = _written.pop(spark.sparkContext.applicationId, [])
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+def small_arrow(spark: SparkSession) -> None:
+    """Keep the session's Arrow batches small, so that memory of workers doesn't hang on how long texts are.
+
+    Settings that are smaller already stay.
+    """
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES), ("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)):
+        have = int(spark.conf.get(key).rstrip("bB"))
+        if have <= 0 or have > most:
+            spark.conf.set(key, str(most))
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(conf).delete(path, True)
+
+
+class Tables:
+    """Tables of one operator's rounds: each is deleted as soon as no later round reads it.
+
+    What is left when the operator returns is what its result still reads; `release` deletes that.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, {}
+
+    def write(self, df: DataFrame, label: str, tasks: int | None = None) -> DataFrame:
+        out = materialize(df, label, tasks)
+        self.paths[id(out)] = (out, _written[self.spark.sparkContext.applicationId][-1])
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that no result hangs on any more, and let Spark's cleaner see the shuffles behind them."""
+        gone = [self.paths.pop(id(t))[1] for t in tables]
+        _delete(self.spark, gone)
+        left = _written[self.spark.sparkContext.applicationId]
+        for p in gone:
+            left.remove(p)
+        self.spark.sparkContext._jvm.System.gc()
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables that operators have left; only when no DataFrame built on them is needed."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    _delete(spark, paths)
     return len(paths)
 
 
@@ -85,3 +126,19 @@ def need(df: DataFrame, *names: str) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {missing}")
+
+
+def positional(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The table with columns named by their place, and those names by the given ones.
+
+    Spark resolves names without regard to case; named by place, no extra column can clash with another or
+    with an operator's own.
+    """
+    names = [f"__el_c{i}" for i in range(len(df.columns))]
+    return df.toDF(*names), dict(zip(df.columns, names))
+
+
+def others(at: dict[str, str], *results: str) -> dict[str, str]:
+    """Columns (place by name) that stay beside an operator's results: results replace columns of their names, whatever the case."""
+    taken = {r.lower() for r in results}
+    return {name: place for name, place in at.items() if name.lower() not in taken}

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, need
+from .common import materialize, need, others, positional, small_arrow
 from .pieces import small_batches
 
 K1, B = 1.2, 0.75
@@ -244,11 +244,16 @@ def find_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_c
     """
     need(docs, text_col)
     need(items, item_col, item_text_col)
-    slim = items.select(F.col(f"`{item_col}`").cast("long").alias("i"), F.col(f"`{item_text_col}`").cast("string").alias("t")).where("i is not null and t is not null")
+    own, place = positional(items)
+    slim = own.select(F.col(place[item_col]).cast("long").alias("i"), F.col(place[item_text_col]).cast("string").alias("t")).where("i is not null and t is not null")
     size = slim.agg(F.sum(F.length("t"))).first()[0] or 0
     passes = -(-size // INDEX_CHARS) or 1
-    rest = [c for c in docs.columns if c != "leaks"]
-    out = docs.select(*(F.col(f"`{c}`") for c in rest))
+    small_arrow(docs.sparkSession)
+    frame, at = positional(docs)
+    rest = others(at, "leaks")
+    if text_col not in rest:
+        raise ValueError(f"the text column may not be named {text_col}")
+    out = frame.select(*rest.values())
     schema = T.StructType([*out.schema.fields, T.StructField("leaks", T.ArrayType(_LEAK))])
     slim = slim.withColumn("pass", F.pmod(F.xxhash64("i"), F.lit(passes)))
     counted = materialize(slim.select("pass", "t").mapInArrow(_count_parts, "pass long, w string, n long").groupBy("pass", "w").agg(F.sum("n").alias("n")), "words") if passes > 1 else None
@@ -260,8 +265,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_c
             whole = {r.w: int(r.n) for r in counted.where("w in (' parts', ' words')").groupBy("w").agg(F.sum("n").alias("n")).collect()}
             counts = (whole.get(" parts", 0), whole.get(" words", 0), totals)
         index = Index(sorted((r.i, r.t) for r in slim.where(F.col("pass") == k).select("i", "t").collect()), counts)
-        out = out.mapInArrow(_scan(index, rest, text_col, threshold, overlap), schema)
-    return out
+        out = out.mapInArrow(_scan(index, list(rest.values()), at[text_col], threshold, overlap), schema)
+    return out.toDF(*rest, "leaks")
 
 
 def _count_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import need
+from .common import need, others, positional, small_arrow
 from .pieces import small_batches
 
 #: Trigrams are hashed into this many buckets, whatever the corpus: the model's size is fixed for each language.
@@ -101,17 +101,19 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Learn from all rows with text and language.  Each task sums its counts before the shuffle.
 
-    Only one row per language and used bucket comes to the driver: at most
-    MAX_LANGUAGES x 2^BUCKET_BITS.  Without any such row the model has no language.
+    Only one row per language comes to the driver, one after the other, each of 2^BUCKET_BITS
+    counts at most.  Without any such row the model has no language.
     """
     need(docs, text_col, lang_col)
-    rows = docs.select(F.col(f"`{lang_col}`").cast("string").alias("g"), F.col(f"`{text_col}`").cast("string").alias("t")).where("g is not null and t is not null")
+    small_arrow(docs.sparkSession)
+    frame, at = positional(docs)
+    rows = frame.select(F.col(at[lang_col]).cast("string").alias("g"), F.col(at[text_col]).cast("string").alias("t")).where("g is not null and t is not null")
     if rows.select("g").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for b in batches:
+        for b in small_batches(batches, rows=512):
             for g, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 c = trigram_counts(t)
                 sums[g] = sums[g] + c if g in sums else c
@@ -119,12 +121,13 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
             used = np.nonzero(c)[0]
             yield pa.RecordBatch.from_arrays([pa.array([g] * len(used), pa.string()), pa.array(used.astype(np.int32)), pa.array(c[used].astype(np.int64))], names=["g", "bucket", "n"])
 
-    counts = rows.mapInArrow(count, "g string, bucket int, n long").groupBy("g", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    languages = sorted(counts["g"].unique())
-    table = np.full((len(languages), 1 << BUCKET_BITS), SMOOTHING)
-    where = {g: i for i, g in enumerate(languages)}
-    if len(counts):
-        table[counts["g"].map(where).to_numpy(), counts["bucket"].to_numpy()] += counts["n"].to_numpy()
+    counts = rows.mapInArrow(count, "g string, bucket int, n long").groupBy("g", "bucket").agg(F.sum("n").alias("n")).groupBy("g").agg(F.collect_list(F.struct("bucket", "n")).alias("c"))
+    found: dict[str, np.ndarray] = {}
+    for r in counts.select("g", F.col("c.bucket").alias("b"), F.col("c.n").alias("n")).toLocalIterator():  # a row for each language
+        found[r.g] = np.full(1 << BUCKET_BITS, SMOOTHING)
+        found[r.g][np.array(r.b)] += np.array(r.n)
+    languages = sorted(found)
+    table = np.stack([found[g] for g in languages]) if languages else np.zeros((0, 1 << BUCKET_BITS))
     return Model(languages, (table / table.sum(axis=1, keepdims=True)).astype(np.float32))
 
 
@@ -136,11 +139,13 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     name in order.  Nothing but the text is looked at.
     """
     need(docs, text_col)
+    small_arrow(docs.sparkSession)
     new = ["lang_pred", "score", "languages", "shares"]
-    rest = [c for c in docs.columns if c not in new]
-    base = docs.select(*(F.col(f"`{c}`") for c in rest))
+    frame, at = positional(docs)
+    rest = others(at, *new)
     if text_col not in rest:
         raise ValueError(f"the text column may not be named {text_col}")
+    base = frame.select(*rest.values())
     schema = T.StructType(list(base.schema.fields))
     for n, kind in zip(new, (T.StringType(), T.DoubleType(), T.ArrayType(T.StringType()), T.ArrayType(T.DoubleType()))):
         schema = schema.add(n, kind)
@@ -157,8 +162,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, rows=512):
-            got = [predict(t) for t in b.column(text_col).to_pylist()]
+            got = [predict(t) for t in b.column(at[text_col]).to_pylist()]
             kinds = (pa.string(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), *(pa.array([g[i] for g in got], k) for i, k in enumerate(kinds))], names=[*rest, *new])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest.values()), *(pa.array([g[i] for g in got], k) for i, k in enumerate(kinds))], names=[*rest.values(), *new])
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(run, schema).toDF(*rest, *new)

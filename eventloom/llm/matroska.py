@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import need
+from .common import need, others, positional, small_arrow
 from .pieces import small_batches
 
 #: Element ids of the Matroska and EBML specifications.
@@ -252,21 +252,22 @@ def store_texts(docs: DataFrame, text_col: str = "text", drop_text: bool = False
 def _mapped(df: DataFrame, col: str, drop: bool, new: list[tuple[str, T.DataType, pa.DataType]], fn) -> DataFrame:
     """All columns (without `col` if `drop`) but those of the new names, and what fn returns for `col`."""
     need(df, col)
-    names = {n for n, _, _ in new}
-    given = [c for c in df.columns if c == col or c not in names]
-    rest = [c for c in given if c not in names and not (drop and c == col)]
-    base = df.select(*(F.col(f"`{c}`") for c in given))
-    schema = T.StructType([f for f in base.schema.fields if f.name in rest])
+    small_arrow(df.sparkSession)
+    names = [n for n, _, _ in new]
+    frame, at = positional(df)
+    rest = {name: place for name, place in others(at, *names).items() if not (drop and name == col)}
+    base = frame.select(*{**rest, col: at[col]}.values())
+    schema = T.StructType([f for f in base.schema.fields if f.name in rest.values()])
     for n, kind, _ in new:
         schema = schema.add(n, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, rows=256):
-            got = [fn(x) for x in b.column(col).to_pylist()]
+            got = [fn(x) for x in b.column(at[col]).to_pylist()]
             cols = [pa.array([g[i] for g in got], kind) for i, (_, _, kind) in enumerate(new)]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), *cols], names=[*rest, *(n for n, _, _ in new)])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest.values()), *cols], names=[*rest.values(), *names])
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(run, schema).toDF(*rest, *names)
 
 
 _PACKET = T.StructType().add("track", T.IntegerType()).add("timestamp_ns", T.LongType()).add("start", T.LongType()).add("size", T.LongType()).add("keyframe", T.BooleanType()).add("lacing", T.IntegerType()).add("cluster", T.IntegerType())

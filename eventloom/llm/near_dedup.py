@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialize, need, words
+from .common import ascii_lower, materialize, need, positional, small_arrow, words
 from .components import components
 from .pieces import small_batches
 
@@ -212,6 +212,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, id_c
     components, so no pair of a band is lost.  Everything is a join or a sum by key.
     """
     need(docs, id_col, text_col)
+    small_arrow(docs.sparkSession)
+    frame, at = positional(docs)
+    docs, id_col, text_col = frame.select(at[id_col], at[text_col]), at[id_col], at[text_col]
     sig = materialize(signatures(docs, size, id_col, text_col), "sketches")
     full = sig.where("n > 0 and id is not null")
     classes = full.groupBy("s1", "s2", "n").agg(F.min("id").alias("id"), F.min("reg").alias("reg"))

@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import need
+from .common import need, others, positional, small_arrow
 from .pieces import PieceCache, id_lists, small_batches
 
 _MARK = "▁"
 #: Pairs of tokens whose compatibility a worker remembers.
-_PAIRS = 500_000
+_PAIRS = 250_000
 
 
 def merge_loop(symbols: list[str], rank: dict[str, float]) -> list[str]:
@@ -198,8 +198,10 @@ def encode_decode(docs: DataFrame, model_path: str, text_col: str = "text") -> D
     empty table stays empty.  The model file must be at `model_path` on each executor.
     """
     need(docs, text_col)
-    rest = [c for c in docs.columns if c not in ("ids", "decoded")]
-    base = docs.select(*(F.col(f"`{c}`") for c in rest), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("__el_text"))
+    small_arrow(docs.sparkSession)
+    frame, at = positional(docs)
+    rest = others(at, "ids", "decoded")
+    base = frame.select(*rest.values(), F.coalesce(F.col(at[text_col]).cast("string"), F.lit("")).alias("__el_text"))
     schema = base.drop("__el_text").schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,7 +209,7 @@ def encode_decode(docs: DataFrame, model_path: str, text_col: str = "text") -> D
         for b in small_batches(batches):
             parts = [cache.join(bpe.pieces(t)) for t in b.column("__el_text").to_pylist()]
             decoded = bpe.processor.decode([np.frombuffer(p, dtype="<i4").tolist() for p in parts], num_threads=1)
-            kept = [b.column(c) for c in rest]
-            yield pa.RecordBatch.from_arrays([*kept, id_lists(parts), pa.array(decoded, pa.string())], names=[*rest, "ids", "decoded"])
+            kept = [b.column(c) for c in rest.values()]
+            yield pa.RecordBatch.from_arrays([*kept, id_lists(parts), pa.array(decoded, pa.string())], names=[*rest.values(), "ids", "decoded"])
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(run, schema).toDF(*rest, "ids", "decoded")

@@ -7,46 +7,47 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
-#: Entries of each of the two generations of a worker's cache.
-GENERATION = 500_000
+#: Bytes that both generations of a worker's cache may take together, by the estimate below.
+BUDGET = 64 << 20
+#: What an entry takes beside its text and ids: two objects and a place in a dict.
+ENTRY = 180
+#: Longer pieces seldom come again (a text in a script without spaces is one piece) and are never kept.
+LONGEST = 40
 
 
 class PieceCache:
-    """A bounded map from a piece of text to its ids (little-endian 32-bit), of two generations.
+    """A map from a piece of text to its ids (little-endian 32-bit), of two generations and bounded in bytes.
 
-    A piece found in the older generation moves to the newer one.  When the newer is
-    full it becomes the older, and what was not used meanwhile is forgotten.
+    A piece found in the older generation moves to the newer one.  When the newer holds half
+    of the budget it becomes the older, and what was not used meanwhile is forgotten.  The pieces of one text may go beyond it.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], generation: int = GENERATION) -> None:
-        self.encode, self.generation = encode, generation
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], budget: int = BUDGET, longest: int = LONGEST) -> None:
+        self.encode, self.half, self.longest, self.size = encode, budget // 2, longest, 0
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def join(self, pieces: list[str]) -> bytes:
         """The ids of the pieces, one after the other."""
-        got = list(map(self.new.get, pieces))
-        at: list[int] = []
-        try:
-            while True:
-                at.append(got.index(None, at[-1] + 1 if at else 0))
-        except ValueError:
-            pass
-        if at:
+        new = self.new
+        got = list(map(new.get, pieces))
+        if None in got:
             own: dict[str, bytes] = {}
             missing: list[str] = []
-            for p in {pieces[i] for i in at}:
+            for p in set(pieces).difference(new):
                 was = self.old.get(p)
                 if was is None:
                     missing.append(p)
                 else:
                     own[p] = was
             own.update(zip(missing, self.encode(missing)))
-            for i in at:
-                got[i] = own[pieces[i]]
-            self.new.update(own)
-            if len(self.new) >= self.generation:
-                self.old, self.new = self.new, {}
+            got = [own[p] if ids is None else ids for p, ids in zip(pieces, got)]
+            if max(map(len, own)) > self.longest:
+                own = {p: ids for p, ids in own.items() if len(p) <= self.longest}
+            new.update(own)
+            self.size += sum(map(len, own)) + sum(map(len, own.values())) + ENTRY * len(own)
+            if self.size >= self.half:
+                self.old, self.new, self.size = new, {}, 0
         return b"".join(got)
 
 

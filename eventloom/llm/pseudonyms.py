@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import need
+from .common import need, others, positional
 
 ROUNDS = 10
 KINDS = ("card", "phone", "ssn", "ip", "date", "email")
@@ -33,6 +33,8 @@ SHAPES = {
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{1,7}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])",
 }
 _ANY = "|".join(SHAPES.values())
+#: The same places; a mail name is taken with its @, which tells it from other kinds that its name may look like.
+_ANY_AT = _ANY.replace("(?=@", "@(?=", 1)
 _ANCHORED = {
     "ip": rf"^{_OCTET}(\.{_OCTET}){{3}}$",
     "date": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
@@ -95,10 +97,11 @@ def _span(s: Column) -> Column:
 
 
 def _kind(m: Column) -> Column:
-    out = F.when(m.rlike(_ANCHORED["ip"]), "ip")
-    for k in ("date", "phone", "ssn", "card"):
+    """The kind whose alternative matched; mail names come with their @."""
+    out = F.when(F.endswith(m, F.lit("@")), "email").when(m.rlike(_ANCHORED["ip"]), "ip")
+    for k in ("date", "phone", "ssn"):
         out = out.when(m.rlike(_ANCHORED[k]), k)
-    return out.otherwise("email")
+    return out.otherwise("card")
 
 
 def _fields(m: Column, kind: Column) -> Column:
@@ -224,8 +227,8 @@ def _written(x: Column, halves: Column, key: str, sign: int) -> Column:
 
 def _found(text: Column, key: str, back: bool) -> Column:
     """The matches of a text in order: array of (kind or null, text, pseudonym)."""
-    hits = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(_ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    before = F.transform(hits, lambda m: _fields(m, _kind(m)))
+    hits = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(_ANY_AT), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    before = F.transform(hits, lambda m: _fields(F.rtrim(m, F.lit("@")), _kind(m)))
     after = before
     for i in reversed(range(ROUNDS)) if back else range(ROUNDS):
         after = F.transform(after, _rounds(i, key, back))
@@ -241,7 +244,8 @@ def pseudonymize(docs: DataFrame, key: str, text_col: str = "text", restore: boo
     """Return every row with the validated values in `text_col` replaced by their pseudonyms.
 
     Adds `found`, array<struct(kind, value, pseudonym)> in order of place; an input column
-    of that name is replaced.  `restore=True` inverts the permutation under the same key.
+    of that name is replaced, in whatever case.  `restore=True` inverts the permutation under the same
+    key.  A very long text is one row's work, in time linear in its length.
 
     Kinds: card (13-19 digits, Luhn), phone (ten digits with the area code in
     brackets or after +1, or a number of the North American plan), ssn, ip (dotted quad), date
@@ -250,11 +254,13 @@ def pseudonymize(docs: DataFrame, key: str, text_col: str = "text", restore: boo
     empty table stays empty; repeated rows get equal results.
     """
     need(docs, text_col)
-    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    got = docs.withColumn("found", _found(text, key, restore))
+    frame, at = positional(docs)
+    text = F.coalesce(F.col(at[text_col]).cast("string"), F.lit(""))
+    got = frame.withColumn("__el_found", _found(text, key, restore))
     gaps = F.split(text, _ANY, -1)
     joined = F.array_join(
-        F.concat(F.array(F.get(gaps, 0)), F.flatten(F.zip_with(F.col("found"), F.slice(gaps, 2, F.size("found")), lambda x, gap: F.array(x["pseudonym"], gap)))), ""
+        F.concat(F.array(F.get(gaps, 0)), F.flatten(F.zip_with(F.col("__el_found"), F.slice(gaps, 2, F.size("__el_found")), lambda x, gap: F.array(x["pseudonym"], gap)))), ""
     )
-    out = got.withColumn(text_col, F.when(F.col(text_col).isNull() | (F.size("found") == 0), F.col(text_col)).otherwise(joined))
-    return out.withColumn("found", F.filter("found", lambda x: x["kind"].isNotNull()))
+    new = F.when(F.col(at[text_col]).isNull() | (F.size("__el_found") == 0), F.col(at[text_col])).otherwise(joined)
+    rest = [new.alias(name) if name == text_col else F.col(place).alias(name) for name, place in others(at, "found").items()]
+    return got.select(*rest, F.filter("__el_found", lambda x: x["kind"].isNotNull()).alias("found"))

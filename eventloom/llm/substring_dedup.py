@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, SPACE_CLASS, hash128, materialize, need, words
+from .common import SPACE, SPACE_CLASS, hash128, materialize, need, positional, small_arrow, words
 from .near_dedup import _lists, _mix
 from .pieces import small_batches
 
@@ -275,15 +275,17 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
     need(docs, id_col, text_col)
     if interior(window) < 1 << ROUNDS:
         raise ValueError("the window is too short for this many rounds")
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    small_arrow(docs.sparkSession)
+    docs, at = positional(docs)
+    text = F.coalesce(F.col(at[text_col]).cast("string"), F.lit(""))
     k, k2 = hash128(text)
-    base = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("t"), k.alias("k"))
+    base = docs.select(F.col(at[id_col]).alias("id"), text.alias("t"), k.alias("k"))
 
     found = materialize(_anchor_rows(base, window), "anchors")
     repeated = found.groupBy("name").agg(F.sum("n").alias("m")).where("m > 1").select("name")
     names = materialize(found.join(repeated, "name", "left_semi").groupBy("k").agg(F.collect_set("name").alias("names")), "names")
 
-    copies = docs.select(F.col(f"`{id_col}`").alias("id"), k.alias("k"), k2.alias("k2")).groupBy("k").agg(F.count("*").alias("c"), F.min("id").alias("first"), F.min("k2").alias("x"), F.max("k2").alias("y"))
+    copies = docs.select(F.col(at[id_col]).alias("id"), k.alias("k"), k2.alias("k2")).groupBy("k").agg(F.count("*").alias("c"), F.min("id").alias("first"), F.min("k2").alias("x"), F.max("k2").alias("y"))
     copies = materialize(copies.where("c > 1 and x = y").select("k", "first"), "copies")
     known = copies.select("k", "first", F.lit(True).alias("copied"))
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hash128, materialize, need
+from .common import hash128, materialize, need, positional, small_arrow
 from .pieces import PieceCache, small_batches
 
 MAGIC, VERSION = b"EVTS", 1
@@ -35,8 +35,6 @@ _HEAD, _FOOT = struct.Struct("<4sBBH"), struct.Struct("<IIIIQQ4s")
 BLOCK_IDS = 1 << 16
 #: Ids after which a shard is closed; one document more may go beyond it.
 SHARD_IDS = 1 << 20
-#: Words that are new to a worker are encoded this many at a time.
-WORDS_AT_ONCE = 200
 _BITS = 32
 
 
@@ -152,55 +150,71 @@ def cut(text: str) -> tuple[str, list[str]]:
     return out[0], [p[1:] for p in out[1:]]
 
 
+#: The byte-level pre-tokeniser's rule for texts of settled characters only: those whose classes no two
+#: versions of Unicode or libraries see differently.  Fixed values.
+_SETTLED = re.compile("[\t\n\r\x20-\x7e\xa1-\u024f]*")
+_LETTERS, _NUMBERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe"
+_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^\s{_LETTERS}{_NUMBERS}]+|\s+(?!\S)|\s+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: visible Latin-1 characters stand for themselves, other bytes for letters from U+0100 on, in order."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
 class WordEncoder:
-    """A byte-level BPE of the tokenizers library, through caches of first and of other pieces.
+    """A byte-level BPE of the tokenizers library, through a cache of pre-tokens.
 
-    A text that spells an added token (as <|endoftext|>) goes through the library whole.
+    Texts are cut here as the library's pre-tokeniser cuts them, and each pre-token that is new goes to
+    the library's model.  What holds characters outside of the settled ones goes through the whole
+    library, in pieces between spaces; so do texts that spell an added token (as <|endoftext|>).
     """
 
     def __init__(self, path: str) -> None:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         tok = Tokenizer.from_file(path)
-        if tok.normalizer is not None or not isinstance(tok.pre_tokenizer, pre_tokenizers.ByteLevel) or tok.pre_tokenizer.add_prefix_space:
+        pre, model = tok.pre_tokenizer, tok.model
+        if tok.normalizer is not None or not isinstance(pre, pre_tokenizers.ByteLevel) or pre.add_prefix_space or not pre.use_regex:
             raise ValueError("only byte-level BPE without normaliser or added space can be encoded word by word")
-        self.tokenizer = tok
+        if not isinstance(model, models.BPE) or model.dropout or model.continuing_subword_prefix or model.end_of_word_suffix:
+            raise ValueError("only plain BPE models can be encoded word by word")
+        self.tokenizer, self.model = tok, model.tokenize
+        self.letters = _byte_letters()
         self.added = [t.content for t in tok.get_added_tokens_decoder().values() if t.content]
-        #: Words encoded at once; one where joined words could spell an added token.
-        self.at_once = 1 if any(" " in t[1:] for t in self.added) else WORDS_AT_ONCE
-        #: Tokens that begin with a space, as the byte-level alphabet writes it.
-        self.spaced = np.zeros(tok.get_vocab_size(), dtype=bool)
-        self.spaced[[i for t, i in tok.get_vocab().items() if t.startswith("Ġ")]] = True
-        self.first = PieceCache(self._each, 50_000)
-        self.rest = PieceCache(self._words)
-
-    def _each(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _words(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces that follow a space: many at once, cut again before each token that begins with a space."""
-        single = [p for p in pieces if " " not in p]
-        known: dict[str, bytes] = {}
-        for at in range(0, len(single), self.at_once):
-            some = single[at : at + self.at_once]
-            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, dtype="<u4")
-            cuts = (np.nonzero(self.spaced[ids])[0] * 4).tolist()
-            if len(cuts) != len(some):
-                raise AssertionError("each word begins one token with a space")
-            data = ids.tobytes()
-            known.update(zip(some, (data[a:b] for a, b in zip(cuts, [*cuts[1:], len(data)]))))
-        other = [p for p in pieces if " " in p]
-        known.update(zip(other, self._each([" " + p for p in other])))
-        return [known[p] for p in pieces]
+        self.cache = PieceCache(self._encode)
+
+    def _encode(self, parts: list[str]) -> list[bytes]:
+        """Ids of single pre-tokens, or of pieces with unsettled characters."""
+        out, model = [], self.model
+        for p in parts:
+            if p[1:].isalpha() and p.isascii() and p[0] == " ":
+                ids = [t.id for t in model("\u0120" + p[1:])]
+            elif _SETTLED.fullmatch(p):
+                ids = [t.id for t in model(p.encode().decode("latin-1").translate(self.letters))]
+            else:
+                ids = self.tokenizer.encode(p, add_special_tokens=False).ids
+            out.append(array("I", ids).tobytes())
+        return out
 
     def encode(self, text: str) -> bytes:
         if any(t in text for t in self.added):
-            return self._each([text])[0]
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if _SETTLED.fullmatch(text):
+            return self.cache.join(_PARTS.findall(text))
         first, rest = cut(text)
-        return self.first.join([first]) + self.rest.join(rest)
+        parts: list[str] = []
+        for p in (first, *(" " + r for r in rest)):
+            if _SETTLED.fullmatch(p):
+                parts += _PARTS.findall(p)
+            else:
+                parts.append(p)
+        return self.cache.join(parts)
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -228,8 +242,10 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str
     the texts move, once, and encoding comes after.
     """
     need(docs, id_col, text_col)
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    dealt = docs.select(F.col(f"`{id_col}`").cast("long").alias("i"), text.alias("t")).repartitionByRange("i").sortWithinPartitions("i", *hash128(F.col("t")))
+    small_arrow(docs.sparkSession)
+    frame, at = positional(docs)
+    text = F.coalesce(F.col(at[text_col]).cast("string"), F.lit(""))
+    dealt = frame.select(F.col(at[id_col]).cast("long").alias("i"), text.alias("t")).repartitionByRange("i").sortWithinPartitions("i", *hash128(F.col("t")))
     end = np.array([end_id], dtype="<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
