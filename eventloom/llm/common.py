@@ -114,6 +114,10 @@ class Tables:
             left.remove(p)
         self.spark.sparkContext._jvm.System.gc()
 
+    def keep(self, *tables: DataFrame) -> None:
+        """Delete all but these."""
+        self.drop(*(t for t, _ in list(self.paths.values()) if not any(t is k for k in tables)))
+
 
 def release(spark: SparkSession) -> int:
     """Delete the tables that operators have left; only when no DataFrame built on them is needed."""

@@ -14,25 +14,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialize, need, positional, small_arrow, words
-from .components import components
+from .common import Tables, ascii_lower, need, positional, small_arrow, words
+from .components import components, joined_parts
 from .pieces import small_batches
 
 ROWS, BANDS = 5, 36
 REGISTERS = ROWS * BANDS
 MANTISSA = 10
-#: A pair is dropped on its estimate only this far below the threshold: over five standard errors.
-MARGIN = 0.25
-#: Smaller sets give registers that hang together too much for the bits' error to hold.
-FEW_SHINGLES = 16
-#: Rounds in which the members of mixed groups are compared with one more centre each.
-STARS = 4
-#: Groups whose members still differ in component are searched pair by pair up to this many members;
-#: larger ones are first cut up by rare shingles.
-WIDE_GROUP = 64
+#: A pair is dropped on its sketches only so many standard errors below the threshold.
+ERRORS = 5
+#: Rounds in which each class of a mixed group is compared with one more centre.
+ROUNDS = 4
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -95,11 +90,11 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
 
 
 def band_keys(registers: np.ndarray) -> np.ndarray:
-    """One 64-bit key a band."""
-    r = registers.reshape(BANDS, ROWS).astype(np.uint64)
-    x = np.arange(BANDS, dtype=np.uint64) + np.uint64(1)
+    """One 64-bit key for each band of each sketch (row)."""
+    r = registers.reshape(-1, BANDS, ROWS).astype(np.uint64)
+    x = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) + np.uint64(1), r.shape[:2])
     for k in range(ROWS):
-        x = _mix(x * _M1 + r[:, k])
+        x = _mix(x * _M1 + r[:, :, k])
     return x.view(np.int64)
 
 
@@ -123,6 +118,11 @@ def estimate(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.n
     return np.clip(((x == y).mean(axis=1) - c) / (1 - c), 0, 1)
 
 
+def _drawn(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """How many different shingles the registers of two sets stand for: small sets fill few, and the others borrow."""
+    return np.minimum(np.minimum(n, m), REGISTERS)
+
+
 def _hashes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = ascii_lower(F.col(f"`{text_col}`").cast("string"))
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.transform(words(text), lambda w: F.xxhash64(w)).alias("h"))
@@ -158,7 +158,7 @@ def _bands(reps: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             reg = np.frombuffer(b"".join(b.column("reg").to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
-            keys = np.concatenate([band_keys(r) for r in reg]) if len(reg) else np.zeros(0, dtype=np.int64)
+            keys = band_keys(reg).reshape(-1)
             ids = np.repeat(b.column("id").to_numpy(), BANDS)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids)], names=["key", "id"])
 
@@ -172,7 +172,8 @@ def _similar_enough(pairs: DataFrame, threshold: float) -> DataFrame:
         for b in batches:
             n, m = (b.column(c).to_numpy() for c in ("na", "nb"))
             x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS) for c in ("ra", "rb"))
-            keep = pa.array(estimate(x, y, n, m) >= threshold - MARGIN) if len(n) else pa.array([], pa.bool_())
+            error = np.sqrt(threshold * (1 - threshold) / _drawn(n, m))
+            keep = pa.array(estimate(x, y, n, m) >= threshold - ERRORS * error) if len(n) else pa.array([], pa.bool_())
             yield b.select(["a", "b"]).filter(keep)
 
     percent = round(threshold * 100)
@@ -198,28 +199,32 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_shingles, component_id (least id reachable by links), kept (it is its own).
+    """One row per document: doc_id, n_shingles, component_id (least id reachable by links), kept (it is its own).
 
     Words are what stands between ASCII white space, A-Z lower-cased; shingles are of
     `size` words.  Two documents are linked if their sets' intersection is at least the
     threshold of their union.  A text of fewer words is one shingle; a null or blank one has none
     and is linked with nothing.  Ids must be whole and not null to be linked: a row of
     null id is returned with a null component and kept.  Rows of one id share its component.
-
-    Equal sets are one class from the start, so copies are never compared.  In each
-    band the class of least id is the group's centre and all others are compared with it;
-    where a group then still holds different components, its members are compared across
-    components, so no pair of a band is lost.  Everything is a join or a sum by key.
+    Other columns play no part, whatever their names.  An empty table gives an empty one.  A very long
+    text costs time and memory in proportion to its length, in the one task that holds it.
+
+    Equal sets are one class from the start, so copies are never compared.  In each round a
+    class is compared with one other: the likeliest centre among the bands where
+    components still differ.  What differs after a few rounds is settled exactly: classes
+    of different components that share a rare shingle, early enough in both to reach the threshold.
+    Everything is a join or a sum by key; a round's tables are deleted with the next.
     """
     need(docs, id_col, text_col)
     small_arrow(docs.sparkSession)
     frame, at = positional(docs)
     docs, id_col, text_col = frame.select(at[id_col], at[text_col]), at[id_col], at[text_col]
-    sig = materialize(signatures(docs, size, id_col, text_col), "sketches")
+    tables = Tables(docs.sparkSession)
+    sig = tables.write(signatures(docs, size, id_col, text_col), "sketches")
     full = sig.where("n > 0 and id is not null")
     classes = full.groupBy("s1", "s2", "n").agg(F.min("id").alias("id"), F.min("reg").alias("reg"))
-    reps = materialize(classes.select("id", "n", "reg", "s1", "s2"), "classes")
-    parts = _components(docs, reps, size, threshold, id_col, text_col)
+    reps = tables.write(classes.select("id", "n", "reg", "s1", "s2"), "classes")
+    parts = _components(tables, docs, sig, reps, size, threshold, id_col, text_col)
     named = reps.join(parts, "id", "left").select("s1", "s2", "n", F.coalesce("component", "id").alias("_c"))
     out = sig.select("id", "n", "s1", "s2").join(named, ["s1", "s2", "n"], "left")
     component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.col("_c")))
@@ -228,73 +233,91 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, id_c
     )
 
 
-def _components(docs: DataFrame, reps: DataFrame, size: int, threshold: float, id_col: str, text_col: str) -> DataFrame:
+def _pair(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _components(tables: Tables, docs: DataFrame, sig: DataFrame, reps: DataFrame, size: int, threshold: float, id_col: str, text_col: str) -> DataFrame:
     """(id, component) of all classes with a link."""
-    bands = materialize(_bands(reps), "bands")
+    bands = _bands(reps)  # made twice, which is less than storing and reading it
     shared = bands.groupBy("key").agg(F.count("*").alias("g")).where("g > 1")
-    groups = materialize(bands.hint("merge").join(shared, "key"), "groups")
-    rows = groups.count()  # all that follows is in proportion to it
+    found = tables.write(bands.join(shared, "key"), "groups")
+    rows = found.count()  # all that follows is in proportion to it
     few, some = 4 + rows // 250_000, 8 + rows // 30_000
     # a class that meets many others in many bands is likely the source of a family
-    weights = groups.groupBy("id").agg(F.sum("g").cast("double").alias("w"))
-    groups = materialize(groups.select("key", "id").join(weights, "id"), "weighted", few)
+    weights = found.groupBy("id").agg(F.sum("g").cast("double").alias("w"))
+    groups = tables.write(found.select("key", "id").join(weights, "id"), "weighted", few)
+    tables.drop(found)
     members = groups.select("id").distinct()
-    light = materialize(reps.select("id", "n", "reg").hint("merge").join(members, "id"), "members")
-    own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("t"))
-    sets = materialize(_sets(own.hint("merge").join(members, "id", "left_semi"), size), "sets")
+    light = tables.write(reps.select("id", "n", "reg").join(members, "id"), "members", some)
+    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
+    sets = tables.write(_sets(own.join(members, "id", "left_semi"), size), "sets")
 
     def judged(pairs: DataFrame) -> DataFrame:
         a, b = (light.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("reg").alias(f"r{x}")) for x in "ab")
-        likely = materialize(_similar_enough(pairs.hint("merge").join(a, "a").hint("merge").join(b, "b"), threshold), "likely", some)
-        return materialize(_confirmed(likely, sets, threshold), "confirmed", some)
-
-    centres = groups.groupBy("key").agg(F.max(F.struct("w", "id"))["id"].alias("c"))
-    star = groups.join(centres, "key").where("id <> c").select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b"))
-    tested = materialize(star.distinct(), "pairs", few)
+        likely = tables.write(_similar_enough(pairs.join(a, "a").join(b, "b"), threshold), "likely", some)
+        sure = tables.write(_confirmed(likely, sets, threshold), "confirmed", some)
+        tables.drop(likely)
+        return sure
+
+    centres = groups.groupBy("key").agg(F.max(F.struct("w", "id")).alias("c"))
+    # one pair for each class: the weightiest centre of all its bands
+    star = groups.join(centres, "key").groupBy("id").agg(F.max("c")["id"].alias("c")).where("id <> c")
+    tested = tables.write(star.select(*_pair("id", "c")).distinct(), "pairs", few)
     links = judged(tested)
-    for turn in range(STARS + 1):
-        parts = materialize(components(links), "parts", few)
+    parts = tables.write(components(links, tables=tables), "parts", few)
+    for turn in range(1, ROUNDS + 1):
         labelled = groups.join(parts, "id", "left").select("key", "id", "w", F.coalesce("component", "id").alias("l"))
-        mixed = labelled.groupBy("key").agg(F.min("l").alias("l1"), F.max("l").alias("l2"), F.count("*").alias("g")).where("l1 < l2").select("key", "g")
-        open_ = materialize(labelled.join(mixed, "key"), "open", few)
-        if turn == STARS:
+        mixed = labelled.groupBy("key").agg(F.min("l").alias("l1"), F.max("l").alias("l2")).where("l1 < l2").select("key")
+        open_ = tables.write(labelled.join(mixed, "key"), "open", few)
+        if turn == ROUNDS:
             break
-        # the largest component of a group gives its next centre, which all members outside of it are compared with
-        sized = open_.groupBy("key", "l").agg(F.count("*").alias("m"), F.max(F.struct(F.col("w") * (F.lit(2.0) + F.pmod(F.xxhash64(F.lit(turn), F.col("id")), F.lit(1000)) / 1000), "id"))["id"].alias("c"))
-        best = sized.groupBy("key").agg(F.max(F.struct("m", "l", "c")).alias("s")).select("key", "s.l", "s.c").withColumnRenamed("l", "lc")
-        pairs = open_.join(best, "key").where("l <> lc").select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
-        pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "pairs", few)
-        found = judged(pairs)
-        tested, links = tested.unionByName(pairs), links.unionByName(found)
-        if found.isEmpty():
+        # the largest component of a group offers a centre to the others; a class takes the offer that most members back
+        lot = F.col("w") * (F.lit(2.0) + F.pmod(F.xxhash64(F.lit(turn), F.col("id")), F.lit(1000)) / 1000)
+        sized = open_.groupBy("key", "l").agg(F.count("*").alias("m"), F.max(F.struct(lot.alias("lot"), "id"))["id"].alias("c"))
+        best = sized.groupBy("key").agg(F.max(F.struct("m", "l", "c")).alias("s")).select("key", "s.m", F.col("s.l").alias("lc"), "s.c")
+        offers = open_.join(best, "key").where("l <> lc").groupBy("id", "c").agg(F.sum("m").alias("m"))
+        offers = offers.select("id", "c", "m", *_pair("id", "c")).join(tested, ["a", "b"], "left_anti")
+        chosen = offers.groupBy("id").agg(F.max(F.struct("m", "c"))["c"].alias("c"))
+        pairs = tables.write(chosen.select(*_pair("id", "c")).distinct(), "pairs", few)
+        more = judged(pairs)
+        tested = tested.unionByName(pairs)
+        if more.isEmpty():
             break
-    x, y = (open_.where(f"g <= {WIDE_GROUP}").select("key", F.col("id").alias(i), F.col("l").alias(f"l{i}")) for i in "ab")
-    across = x.join(y, "key").where("a < b and la <> lb").select("a", "b").distinct()
-    wide = materialize(open_.where(f"g > {WIDE_GROUP}").select("id", "l").distinct(), "wide", few)
-    across = across.unionByName(_by_rare_shingles(sets.join(_bits(light), "id"), wide, threshold)).distinct()
-    found = judged(materialize(across.join(tested, ["a", "b"], "left_anti"), "pairs", some))
-    return parts if found.isEmpty() else components(links.unionByName(found))
-
-
-def _by_rare_shingles(sets: DataFrame, wide: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of different components in wide groups that can reach the threshold.
+        tables.drop(open_)
+        old, parts = parts, joined_parts(parts, more, tables, few)
+        tables.drop(old)
+    left = tables.write(open_.select("id", "l").distinct(), "left", few)
+    tables.drop(open_, groups)
+    across = _by_rare_shingles(tables, sets.join(_bits(light), "id"), left, threshold)
+    more = judged(tables.write(across.join(tested, ["a", "b"], "left_anti"), "pairs", some))
+    if not more.isEmpty():
+        parts = joined_parts(parts, more, tables, few)
+    tables.keep(sig, reps, parts)
+    return parts
+
+
+def _by_rare_shingles(tables: Tables, sets: DataFrame, left: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of the classes left (id, l) that differ in component and can reach the threshold.
 
     Two sets of similarity t share one of their rarest n - ceil(t n) + 1 shingles, in any
     order common to both; rare first keeps what all members have in common out of the keys.
+    From the first shingle shared, what remains of the shorter rest must hold the intersection needed.
     """
     percent = round(threshold * 100)
     bits = [f"b{i}" for i in range(_LONGS)]
-    shingles = sets.join(wide, "id").select("id", "l", *bits, F.size("s").alias("n"), F.explode("s").alias("x"))
+    shingles = sets.join(left, "id").select("id", "l", *bits, F.size("s").alias("n"), F.explode("s").alias("x"))
     df = shingles.groupBy("x").count()
     ranked = shingles.join(df, "x").groupBy("id", "l", "n", *bits).agg(F.array_sort(F.collect_list(F.struct("count", "x"))).alias("o"))
-    prefix = ranked.select("id", "l", "n", *bits, F.explode(F.slice("o", 1, (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))).alias("o"))
-    keyed = materialize(prefix.where("o.count > 1").select("id", "l", "n", *bits, "o.x"), "prefixes")
-    a, b = (keyed.select("x", F.col("id").alias(i), F.col("n").alias(f"n{i}"), F.col("l").alias(f"l{i}"), *(F.col(c).alias(c + i) for c in bits)) for i in "ab")
+    prefix = ranked.select("id", "l", "n", *bits, F.posexplode(F.slice("o", 1, (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))).alias("p", "o"))
+    keyed = tables.write(prefix.where("o.count > 1").select("id", "l", "n", "p", *bits, "o.x"), "prefixes")
+    a, b = (keyed.select("x", F.col("id").alias(i), F.col("n").alias(f"n{i}"), F.col("l").alias(f"l{i}"), F.col("p").alias(f"p{i}"), *(F.col(c).alias(c + i) for c in bits)) for i in "ab")
     differ = " + ".join(f"bit_count({c}a ^ {c}b)" for c in bits)
-    # half of the registers that differ have another lowest bit; six standard errors more are let through
-    most = REGISTERS * (1 - threshold) / 2
-    most = int(most + 6 * (REGISTERS * (1 - threshold) / 2 * (1 + threshold) / 2) ** 0.5)
-    return a.join(b, "x").where(f"a < b and la <> lb and 100 * least(na, nb) >= {percent} * greatest(na, nb) and (least(na, nb) < {FEW_SHINGLES} or {differ} <= {most})").select("a", "b").distinct()
+    # half of the registers that differ have another lowest bit
+    p = (1 - threshold) / 2
+    most = f"{REGISTERS * p} + {ERRORS * REGISTERS * (p * (1 - p)) ** 0.5} / sqrt(least(na, nb, {REGISTERS}))"
+    reach = f"{100 + percent} * least(na - pa, nb - pb) >= {percent} * (na + nb)"
+    return a.join(b, "x").where(f"a < b and la <> lb and {reach} and {differ} <= {most}").select("a", "b").distinct()
 
 
 _LONGS = -(-REGISTERS // 64)
