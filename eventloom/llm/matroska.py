@@ -7,6 +7,7 @@ simple blocks and block groups, all four kinds of lacing, and cues.
 from __future__ import annotations
 
 import struct
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -29,6 +30,7 @@ _TOP = {CLUSTER, CUES, INFO, TRACKS}
 NO_LACING, XIPH, FIXED, EBML_LACING = 0, 1, 2, 3
 
 RATE = 8000  # samples a second of the tracks written here
+NS_A_SAMPLE = 1_000_000_000 // RATE
 FRAME = 1024  # samples in a frame
 LACED = 4  # frames in a block
 CLUSTER_BLOCKS = 8
@@ -188,6 +190,20 @@ def parse(data: bytes) -> Parsed:
     cues, clusters, tracks = [], [], []
     scale = 1_000_000
 
+    def cluster(c: int, d: int) -> None:
+        base = 0
+        for e, _, x, y in elements(data, c, d, _TOP):
+            if e == TIMESTAMP:
+                base = _uint(data, x, y)
+            elif e == SIMPLE_BLOCK:
+                block(x, y, base, None)
+            elif e == BLOCK_GROUP:
+                inner = list(elements(data, x, y))
+                key = all(g != REFERENCE_BLOCK for g, *_ in inner)
+                for g, _, p, q in inner:
+                    if g == BLOCK:
+                        block(p, q, base, key)
+
     def block(a: int, b: int, base: int, key: bool | None) -> None:
         track, a, _ = _read_vint(data, a, False)
         (rel,), flags = struct.unpack_from(">h", data, a), data[a + 2]
@@ -208,18 +224,7 @@ def parse(data: bytes) -> Parsed:
                         tracks.append((_uint(data, *own[TRACK_NUMBER]), data[slice(*own.get(CODEC_ID, (0, 0)))].decode()))
             elif top == CLUSTER:
                 clusters.append(start - a)
-                base = 0
-                for e, _, x, y in elements(data, c, d, _TOP):
-                    if e == TIMESTAMP:
-                        base = _uint(data, x, y)
-                    elif e == SIMPLE_BLOCK:
-                        block(x, y, base, None)
-                    elif e == BLOCK_GROUP:
-                        inner = list(elements(data, x, y))
-                        key = all(g != REFERENCE_BLOCK for g, *_ in inner)
-                        for g, _, p, q in inner:
-                            if g == BLOCK:
-                                block(p, q, base, key)
+                cluster(c, d)
             elif top == CUES:
                 for e, _, x, y in elements(data, c, d):
                     if e != CUE_POINT:
@@ -295,10 +300,12 @@ def packets(media: DataFrame, media_col: str = "media") -> DataFrame:
 
 
 def read_payload(media: DataFrame, media_col: str = "media") -> DataFrame:
-    """Add what the stored file holds: payload (frames joined in order), n_packets, n_clusters, cues_ok, duration_ns.
+    """Add what the stored file holds: payload (frames joined in order of their times), n_packets, n_clusters, cues_ok, duration_ns, table_crc32.
 
-    `cues_ok`: each cue points to the cluster of its time.  A null or broken file has a null payload
-    and zero counts.
+    `cues_ok`: there is a cue for each cluster, which points to it and has the time of its first packet.
+    `duration_ns`: from the first packet's time to the end of the last.  `table_crc32`: of the packet
+    table, a line `track timestamp start size` for each packet.  A null or broken file has a null payload
+    and zeros.
     """
 
     def read(data: bytes | None):
@@ -307,15 +314,19 @@ def read_payload(media: DataFrame, media_col: str = "media") -> DataFrame:
         except (ValueError, IndexError, KeyError, struct.error):
             p = None
         if p is None:
-            return None, 0, 0, False, 0
+            return None, 0, 0, False, 0, 0
         first: dict[int, int] = {}
         for x in p.packets:
             first.setdefault(x.cluster, x.timestamp)
         place = {at: first.get(i) for i, at in enumerate(p.clusters)}
-        ok = all(place.get(at) == time * p.scale for time, _, at in p.cues)
-        payload = b"".join(data[x.start : x.start + x.size] for x in p.packets)
-        return payload, len(p.packets), len(p.clusters), ok, len(payload) * 1_000_000_000 // RATE
-
-    new = [("payload", T.BinaryType(), pa.binary()), ("n_packets", T.LongType(), pa.int64()), ("n_clusters", T.LongType(), pa.int64()), ("cues_ok", T.BooleanType(), pa.bool_()), ("duration_ns", T.LongType(), pa.int64())]
+        ok = {at for _, _, at in p.cues} == set(p.clusters) and all(place.get(at) == time * p.scale for time, _, at in p.cues)
+        ordered = sorted(p.packets, key=lambda x: (x.timestamp, x.start))
+        payload = b"".join(data[x.start : x.start + x.size] for x in ordered)
+        end = ordered[-1].timestamp if ordered else 0  # laced frames share their block's time
+        length = end + sum(x.size for x in ordered if x.timestamp == end) * NS_A_SAMPLE - ordered[0].timestamp if ordered else 0
+        table = "\n".join(f"{x.track} {x.timestamp} {x.start} {x.size}" for x in p.packets)
+        return payload, len(p.packets), len(p.clusters), ok, length, zlib.crc32(table.encode())
+
+    new = [("payload", T.BinaryType(), pa.binary()), ("n_packets", T.LongType(), pa.int64()), ("n_clusters", T.LongType(), pa.int64()), ("cues_ok", T.BooleanType(), pa.bool_()), ("duration_ns", T.LongType(), pa.int64()), ("table_crc32", T.LongType(), pa.int64())]
     return _mapped(media, media_col, False, new, read)
 

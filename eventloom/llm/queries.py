@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import materialize, read_table
 from .decontaminate import find_leaks
 from .language import held_out, identify, train
 from .line_dedup import dedup_lines
-from .matroska import read_payload, store_texts
+from .matroska import packets, read_payload, store_texts
 from .near_dedup import near_duplicates
 from .piece_bpe import encode_decode
 from .pseudonyms import KINDS, pseudonymize
@@ -71,9 +71,9 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = store_texts(read_table(spark, sf_dir, "documents").select("doc_id", "text"), drop_text=True)
+    stored = materialize(store_texts(read_table(spark, sf_dir, "documents").select("doc_id", "text"), drop_text=True), "media")
     back = read_payload(stored)
-    feature = F.format_string("packets=%d;clusters=%d;cues=%s;ns=%d", "n_packets", "n_clusters", F.col("cues_ok").cast("string"), "duration_ns")
+    feature = F.format_string("packets=%d;clusters=%d;cues=%s;ns=%d;table=%d", "n_packets", "n_clusters", F.col("cues_ok").cast("string"), "duration_ns", "table_crc32")
     payload, size = F.col("payload"), F.octet_length("payload")
     return back.select(
         "doc_id",
@@ -87,6 +87,12 @@ def op6_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def media_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packet table of the stored media, a row for each packet."""
+    stored = materialize(store_texts(read_table(spark, sf_dir, "documents").select("doc_id", "text"), drop_text=True), "media")
+    return packets(stored).drop("n_bytes")
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = train(docs.where(~held_out(F.col("doc_id"))))
@@ -108,51 +114,62 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
-#: Each page is captured twice: the page itself, and later, by another spelling of its URL, a 304 with its tag.
-REVISIT_AFTER = 40_000
+#: Captures of each page, as SQL that both engines read: a first response (not of every fifth page), for every third page a
+#: later one of other content, a revisit after both, and one before.  Some know only tags, some only
+#: dates, some neither; some URLs are null or spelled in another way.
+RECORDS_SQL = r"""
+p AS (SELECT page_id, url, length(html) AS n, md5(coalesce(html, '')) AS tag,
+             CASE WHEN page_id % 4 = 1 THEN 'day ' || CAST(page_id % 50 AS STRING) END AS day FROM pages),
+r AS (
+  SELECT page_id * 4 AS record_id, 'response' AS kind, url, page_id AS ts, CASE WHEN page_id % 13 = 0 THEN 404 ELSE 200 END AS status,
+         CASE WHEN page_id % 4 <> 1 THEN 'W/' || tag END AS etag, day AS last_modified, n FROM p WHERE page_id % 5 <> 0
+  UNION ALL
+  SELECT page_id * 4 + 1, 'response', url || '#later', page_id + 200000, 200, md5(tag || '2'), NULL, n + 1 FROM p WHERE page_id % 3 = 0
+  UNION ALL
+  SELECT page_id * 4 + 2, 'revisit', CASE WHEN page_id % 11 <> 0 THEN url || '#again' END, page_id + 400000, 304,
+         CASE WHEN page_id % 4 <> 1 AND page_id % 7 <> 0 THEN tag END, CASE WHEN page_id % 8 = 1 THEN 'another day' ELSE day END, 0 FROM p
+  UNION ALL
+  SELECT page_id * 4 + 3, 'revisit', url, page_id - 100000, 304, tag, NULL, 0 FROM p WHERE page_id % 2 = 0)"""
 
 
 def page_records(pages: DataFrame) -> DataFrame:
     header = lambda n, v: F.struct(F.lit(n).alias("name"), v.cast("string").alias("value"))
-    tag = F.md5(F.coalesce("html", F.lit("")))
-    no_date = F.lit(None).cast("string").alias("last_modified")
-    first = pages.select(
-        (F.col("page_id") * 2).alias("record_id"), F.lit("response").alias("kind"), "url", F.col("page_id").alias("ts"), F.lit(200).alias("status"),
-        F.concat(F.lit("W/"), tag).alias("etag"), no_date,
-        F.array(header("content-type", F.lit("text/html")), header("content-length", F.length("html")), header("date", F.col("page_id"))).alias("headers"),
-    )
-    again = pages.select(
-        (F.col("page_id") * 2 + 1).alias("record_id"), F.lit("revisit").alias("kind"), F.concat(F.regexp_replace("url", "#.*$", ""), F.lit("#again")).alias("url"),
-        (F.col("page_id") + REVISIT_AFTER).alias("ts"), F.lit(304).alias("status"), tag.alias("etag"), no_date,
-        F.array(header("content-length", F.lit(0)), header("date", F.col("page_id") + REVISIT_AFTER), header("age", F.lit(0))).alias("headers"),
-    )
-    return first.unionByName(again)
+    rows = pages.sparkSession.sql(f"WITH {RECORDS_SQL.replace('FROM pages', 'FROM {pages}')} SELECT * FROM r", pages=pages)
+    full = [header("content-type", F.lit("text/html")), header("content-length", F.col("n")), header("date", F.col("ts"))]
+    short = [header("content-length", F.lit(0)), header("date", F.col("ts")), header("age", F.lit(0))]
+    return rows.withColumn("headers", F.when(F.col("kind") == "response", F.array(*full)).otherwise(F.array(*short)))
 
 
 def op3_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = resolve_revisits(page_records(read_table(spark, sf_dir, "pages")))
+    out = resolve_revisits(page_records(read_table(spark, sf_dir, "pages").select("page_id", "url", "html")))
     text = F.array_join(F.array_sort(F.transform("headers", lambda h: F.concat(h["name"], F.lit("="), h["value"]))), ";")
     return out.select("record_id", "url", "outcome", "target_id", text.alias("headers"))
 
 
-OP3_SQL = r"""
-WITH p AS (
-  SELECT page_id, md5(coalesce(html, '')) AS tag, length(html) AS n,
-         regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM pages),
+OP3_SQL = f"""
+WITH {RECORDS_SQL},
+s AS (SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM r),
 c AS (
-  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), '^www[0-9]*\.', ''), ':(80|443)$', '') AS host,
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), '^www[0-9]*\\.', ''), ':(80|443)$', '') AS host,
          regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
          list_sort(list_filter(string_split(regexp_extract(rest, '[?](.*)$', 1), '&'),
-                   lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|gclid|fbclid|ref)(=|$)'))) AS params FROM p),
-u AS (SELECT page_id, tag, n, host || path || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS url FROM c),
+                   lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|gclid|fbclid|ref)(=|$)'))) AS params FROM s),
+u AS (SELECT * EXCLUDE (url), host || path || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS url FROM c),
 m AS (
-  SELECT r.page_id, r.url, r.tag, arg_max(f.page_id, f.page_id) AS target
-  FROM u r LEFT JOIN u f ON f.url = r.url AND f.page_id < r.page_id + 40000 GROUP BY ALL)
-SELECT m.page_id * 2 + 1 AS record_id, m.url, CASE WHEN f.page_id IS NULL THEN 'none' WHEN f.tag = m.tag THEN 'resolved' ELSE 'changed' END AS outcome,
-       f.page_id * 2 AS target_id,
-       CASE WHEN f.tag = m.tag THEN 'age=0;content-length=' || f.n || ';content-type=text/html;date=' || (m.page_id + 40000) END AS headers
-FROM m LEFT JOIN u f ON f.page_id = m.target
+  SELECT v.record_id, arg_max(f.record_id, f.ts::HUGEINT * 100000000000 + f.record_id) AS target_id
+  FROM u v LEFT JOIN u f ON f.kind = 'response' AND f.status = 200 AND f.url = v.url AND f.ts < v.ts
+  WHERE v.kind = 'revisit' GROUP BY ALL),
+o AS (
+  SELECT v.record_id, v.url, v.ts, m.target_id, f.n,
+         CASE WHEN m.target_id IS NULL THEN 'none'
+              WHEN v.etag IS NOT NULL AND f.etag IS NOT NULL THEN CASE WHEN v.etag = replace(f.etag, 'W/', '') THEN 'resolved' ELSE 'changed' END
+              WHEN v.last_modified IS NOT NULL AND f.last_modified IS NOT NULL THEN CASE WHEN v.last_modified = f.last_modified THEN 'resolved' ELSE 'changed' END
+              ELSE 'unchecked' END AS outcome
+  FROM m JOIN u v ON v.record_id = m.record_id LEFT JOIN u f ON f.record_id = m.target_id)
+SELECT record_id, url, outcome, target_id,
+       CASE WHEN outcome = 'resolved' THEN 'age=0;content-length=' || n || ';content-type=text/html;date=' || ts END AS headers
+FROM o
 """
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op10_pseudonyms": op10_pseudonyms, "op8_piece_bpe": op8_piece_bpe, "op2_token_store": op2_token_store, "op6_matroska": op6_matroska, "op5_language": op5_language, "op9_decontaminate": op9_decontaminate, "op4_near_dedup": op4_near_dedup, "op7_substring_dedup": op7_substring_dedup, "op3_revisits": op3_revisits}
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op10_pseudonyms": op10_pseudonyms, "op8_piece_bpe": op8_piece_bpe, "op2_token_store": op2_token_store, "op6_matroska": op6_matroska, "media_packets": media_packets, "op5_language": op5_language, "op9_decontaminate": op9_decontaminate, "op4_near_dedup": op4_near_dedup, "op7_substring_dedup": op7_substring_dedup, "op3_revisits": op3_revisits}
 ORACLES = {"op1_line_dedup": OP1_SQL, "op3_revisits": OP3_SQL}

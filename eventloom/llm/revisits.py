@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hash128, materialize, need
+from .common import hash128, materialize, need, positional
 
 #: Header fields of a 304 that don't replace stored ones: they describe the message or the connection, not the resource.
 NOT_MERGED = (
@@ -36,7 +36,7 @@ def _strong(tag: Column) -> Column:
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """One row per revisit: record_id, url (canonical), outcome, target_id, headers.
 
-    records: record_id (long, unique), kind ("response" with status 200 or "revisit"),
+    records: record_id (long), kind ("response" with status 200 or "revisit"),
     url, ts (long), status (int), etag, last_modified (strings), headers
     (array<struct<name, value>>, names in lower case).  Other columns are ignored, other
     kinds and statuses take no part.
@@ -48,16 +48,23 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     common validator it is "unchecked" and counts as not resolved.  Headers of a resolved revisit
     are the target's, replaced by the revisit's where permitted; else null.
 
+    Every revisit row gives one row: repeated rows, shared ids and a null id are resolved row by row, by
+    URL and time.  Of responses that share URL, ts and record_id one takes part, that of the greatest
+    validators and headers.  No rows, or no revisits, give an empty table.
+
     Records are dealt by ranges of (URL, ts), so captures of one URL spread over as many
     tasks as they need.  Within a range a window finds the target; what a range begins
     without comes from the last response of the ranges before, one row per URL and range.
     Only keys move; validators and headers are joined to the pairs found.
     """
     need(records, "record_id", "kind", "url", "ts", "status", "etag", "last_modified", "headers")
-    full = (F.col("kind") == "response") & (F.col("status") == 200)
-    ours = records.where(full | (F.col("kind") == "revisit")).select("record_id", "ts", "etag", "last_modified", "headers", canonical_url(F.col("url")).alias("url"), F.coalesce(full, F.lit(False)).alias("full"))
+    frame, at = positional(records)
+    records = frame.select(*(F.col(at[c]).alias(c) for c in ("record_id", "kind", "url", "ts", "status", "etag", "last_modified", "headers")))
+    full = F.coalesce((F.col("kind") == "response") & (F.col("status") == 200), F.lit(False))
     h1, h2 = hash128(F.col("url"))
-    slim = ours.where("url is not null and ts is not null").select("record_id", F.col("ts").cast("long").alias("ts"), "full", h1.alias("u1"), h2.alias("u2"))
+    ours = records.where(full | (F.col("kind") == "revisit")).select("record_id", F.col("ts").cast("long").alias("ts"), "etag", "last_modified", "headers", canonical_url(F.col("url")).alias("url"), full.alias("full"))
+    ours = ours.withColumn("u1", h1).withColumn("u2", h2)
+    slim = ours.where("url is not null and ts is not null").select("record_id", "ts", "full", "u1", "u2")
     dealt = materialize(slim.repartitionByRange("u1", "u2", "ts").withColumn("part", F.spark_partition_id()), "captures")
 
     this = F.when(F.col("full"), F.struct("ts", "record_id"))
@@ -67,14 +74,20 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     spans = dealt.select("u1", "u2", "part").distinct()
     earlier = Window.partitionBy("u1", "u2").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     carried = spans.join(lasts, ["u1", "u2", "part"], "left").withColumn("carried", F.max("last").over(earlier)).where("carried is not null").select("u1", "u2", "part", "carried")
-    found = near.join(carried, ["u1", "u2", "part"], "left").select("record_id", F.coalesce("near", "carried")["record_id"].alias("target_id"))
-
-    target = ours.where("full").select(F.col("record_id").alias("target_id"), F.col("etag").alias("_etag"), F.col("last_modified").alias("_date"), F.col("headers").alias("_headers"))
-    pairs = ours.where("not full").join(found, "record_id", "left").join(target, "target_id", "left")
+    found = near.join(carried, ["u1", "u2", "part"], "left").select("u1", "u2", "ts", "record_id", F.coalesce("near", "carried").alias("_at")).where("_at is not null")
+    # the same for all revisit rows of one URL, time and id
+    found = found.distinct().select(F.col("u1").alias("_u1"), F.col("u2").alias("_u2"), F.col("ts").alias("_ts"), F.col("record_id").alias("_id"), "_at")
+
+    target = ours.where("full and url is not null and ts is not null").groupBy("u1", "u2", "ts", "record_id").agg(F.max(F.struct("etag", "last_modified", "headers")).alias("_t"))
+    target = target.select(F.col("u1").alias("t1"), F.col("u2").alias("t2"), F.col("ts").alias("_tts"), F.col("record_id").alias("_tid"), F.col("_t.etag").alias("_etag"), F.col("_t.last_modified").alias("_date"), F.col("_t.headers").alias("_headers"))
+    asked = ours.where("not full")
+    pairs = asked.join(found, (asked["u1"] == F.col("_u1")) & (asked["u2"] == F.col("_u2")) & (asked["ts"] == F.col("_ts")) & asked["record_id"].eqNullSafe(F.col("_id")), "left")
+    pairs = pairs.join(target, (F.col("_u1") == F.col("t1")) & (F.col("_u2") == F.col("t2")) & (F.col("_at.ts") == F.col("_tts")) & F.col("_at.record_id").eqNullSafe(F.col("_tid")), "left")
+    pairs = pairs.withColumn("target_id", F.col("_at.record_id"))
     tags = F.col("etag").isNotNull() & F.col("_etag").isNotNull()
     dates = F.col("last_modified").isNotNull() & F.col("_date").isNotNull()
     outcome = (
-        F.when(F.col("target_id").isNull(), "none")
+        F.when(F.col("_at").isNull(), "none")
         .when(tags, F.when(_strong(F.col("etag")) == _strong(F.col("_etag")), "resolved").otherwise("changed"))
         .when(dates, F.when(F.col("last_modified") == F.col("_date"), "resolved").otherwise("changed"))
         .otherwise("unchecked")

@@ -11,11 +11,12 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from eventloom.llm import queries as Q
 from eventloom.llm.components import components
 from eventloom.llm.decontaminate import Index, find_leaks, question_answer
-from eventloom.llm.language import held_out, identify, train
+from eventloom.llm.language import held_out, identify, train, trigram_counts
 from eventloom.llm.line_dedup import dedup_lines
 from eventloom.llm.matroska import EBML_LACING, FIXED, XIPH, elements, lace, packets, padded, parse, read_payload, store_texts, vint, write_pcm
 from eventloom.llm.near_dedup import estimate, near_duplicates, shingle_set, sketch
@@ -23,7 +24,7 @@ from eventloom.llm.piece_bpe import PieceBpe, encode_decode, merge_loop
 from eventloom.llm.pieces import PieceCache
 from eventloom.llm.pseudonyms import pseudonymize
 from eventloom.llm.revisits import canonical_url, resolve_revisits
-from eventloom.llm.substring_dedup import anchors, interior, recompress, remove_repeats
+from eventloom.llm.substring_dedup import anchors, interior, recompress, remove_repeats, word_hashes
 from eventloom.llm.token_store import Shard, WordEncoder, read_tokens, write_shard, write_tokens
 
 SF = "/root/testdata/sf0.001"
@@ -170,6 +171,20 @@ def test_revisits(spark):
     assert resolve_revisits(df.limit(0)).count() == 0
 
 
+def test_repeated_and_nameless_records(spark):
+    """Each revisit row gives one row, whatever ids and rows repeat."""
+    rows = [(1, "response", "http://x/a", 10, 200, "e1", None, None)] * 2 + [(2, "revisit", "http://x/a", 20, 304, "e1", None, None)] * 2
+    rows += [(None, "revisit", "http://x/a", 30, 304, "e1", None, None), (2, "revisit", "http://x/a", 5, 304, "e1", None, None), (None, "response", "http://x/c", 1, 200, "e", None, None), (9, "revisit", "http://x/c", 2, 304, "e", None, None)]
+    df = spark.createDataFrame(rows, "record_id bigint, kind string, url string, ts bigint, status int, etag string, last_modified string, headers array<struct<name: string, value: string>>")
+    got = collections.Counter((r.record_id, r.outcome, r.target_id) for r in resolve_revisits(df.selectExpr("*", "1 URL2", "2 Part")).collect())
+    assert got == {(2, "resolved", 1): 2, (None, "resolved", 1): 1, (2, "none", None): 1, (9, "resolved", None): 1}
+
+
+def test_revisit_records_hold_all_cases(spark):
+    rows = Q.op3_revisits(spark, SF).groupBy("outcome").count().collect()
+    assert {r.outcome for r in rows} == {"resolved", "changed", "none", "unchecked"} and all(r["count"] >= 5 for r in rows)
+
+
 def test_revisits_of_one_url(spark):
     """A hot URL spreads over many ranges; each revisit still finds the last response before it."""
     r = random.Random(3)
@@ -261,6 +276,53 @@ def test_language_accuracy(spark):
     assert sum(truth[r.doc_id] == r.lang_pred for r in out) >= 0.97 * len(out)
 
 
+def naive_language(model, text):
+    """The whole inference in plain Python: counts, mixture, penalised choice of the set."""
+    if not text or not any(c.isalpha() for c in text):
+        return "und", 0.0
+    counts = {i: int(n) for i, n in enumerate(trigram_counts(text)) if n}
+    p = [{i: float(row[i]) for i in counts} for row in model.likelihood]
+    total = sum(counts.values())
+
+    def fit(chosen):
+        shares = [1 / len(chosen)] * len(chosen)
+        for _ in range(30):
+            new = [0.0] * len(chosen)
+            for i, n in counts.items():
+                mixed = sum(s * p[g][i] for s, g in zip(shares, chosen))
+                for k, g in enumerate(chosen):
+                    new[k] += n * shares[k] * p[g][i] / mixed / total
+            moved = max(abs(a - b) for a, b in zip(new, shares))
+            shares = new
+            if moved < 1e-4:
+                break
+        return shares, sum(n * math.log(sum(s * p[g][i] for s, g in zip(shares, chosen))) for i, n in counts.items())
+
+    penalty, everyone = 0.5 * math.log(max(total, 2)), list(range(len(p)))
+    single = [sum(n * math.log(p[g][i]) for i, n in counts.items()) for g in everyone]
+    best = (max(single) - penalty, [single.index(max(single))], [1.0])
+    shares, _ = fit(everyone)
+    order = sorted(everyone, key=lambda g: -shares[g])
+    for k in range(2, len(p) + 1):
+        chosen = sorted(order[:k])
+        own, value = fit(chosen)
+        if value - k * penalty > best[0]:
+            best = (value - k * penalty, chosen, own)
+    return model.languages[best[1][best[2].index(max(best[2]))]], max(best[2])
+
+
+def test_language_against_plain_python(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = train(docs.where(~held_out(docs.doc_id)))
+    text = {i: t for i, t, _ in docs_of()}
+    rows = Q.op5_language(spark, SF).collect()
+    short = [r for r in rows if len(text[r.doc_id]) < 6000]
+    assert len(short) > 100
+    for r in short:
+        lang, score = naive_language(model, text[r.doc_id])
+        assert r.lang_pred == lang and abs(r.score - score) < 1e-4, r.doc_id
+
+
 def test_mixtures(spark):
     rows = docs_of()
     model = train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
@@ -292,6 +354,21 @@ def test_media(spark):
         assert "cues=true" in r.feature
 
 
+def test_media_features_come_from_packets(spark):
+    """Counts, times and byte ranges of the packet table agree with what the query says."""
+    by = collections.defaultdict(list)
+    for r in Q.media_packets(spark, SF).collect():
+        by[r.doc_id].append(r)
+    for r in Q.op6_matroska(spark, SF).collect():
+        own = sorted(by[r.doc_id], key=lambda p: p.packet)
+        feature = dict(x.split("=") for x in r.feature.split(";"))
+        n = sum(p.size for p in own)
+        assert (len(own), len({p.cluster for p in own}), n) == (int(feature["packets"]), int(feature["clusters"]), r.payload_bytes)
+        assert int(feature["ns"]) == n * 125_000 and feature["cues"] == "true"
+        assert int(feature["table"]) == zlib.crc32("\n".join(f"{p.track} {p.timestamp_ns} {p.start} {p.size}" for p in own).encode())
+        assert all(a.start + a.size <= b.start for a, b in zip(own, own[1:]))
+
+
 def test_media_awkward(spark, awkward, nothing):
     back = read_payload(store_texts(awkward.selectExpr("*", "1 media", "'p' payload"), drop_text=True)).collect()
     texts = collections.Counter((i, padded(t)[0]) for i, t in AWKWARD)
@@ -362,6 +439,32 @@ def test_repeats_awkward(spark, awkward, nothing):
         remove_repeats(awkward, window=20)
 
 
+def test_word_hashes():
+    r = random.Random(14)
+    texts = ["", "a", " a", "b ", "ab", "a b", "日本 é", "\n\t", "x" * 300_000, "a b\x0bc\x0cd\re"] + ["".join(r.choices("ab \n\té", k=r.randrange(30))) for _ in range(500)]
+    r.shuffle(texts)
+    raw = [t.encode() for t in texts]
+    at = np.cumsum([0, *map(len, raw)])
+    h, of = word_hashes(np.frombuffer(b"".join(raw), np.uint8), at)
+    by = {}
+    for i, t in enumerate(texts):
+        own = SPLIT.findall(t)
+        assert len(own) == of[i + 1] - of[i]
+        for w, x in zip(own, h[of[i] : of[i + 1]].tolist()):
+            assert by.setdefault(w, x) == x
+    assert len(set(by.values())) == len(by) > 100
+    assert len(word_hashes(np.zeros(0, np.uint8), np.zeros(3, np.int64))[0]) == 0
+
+
+def test_batches_of_texts_are_kept_apart():
+    r = np.random.default_rng(15)
+    texts = [r.integers(0, 3 if i % 3 else 2**62, r.integers(0, 90)).astype(np.uint64) for i in range(80)]
+    at = np.cumsum([0, *map(len, texts)])
+    name, first, ends = anchors(np.concatenate(texts), 35, at)
+    own = [(i, n, at[i] + a, at[i] + b) for i, t in enumerate(texts) for n, a, b in zip(*anchors(t, 35))]
+    assert sorted(zip((np.searchsorted(at, first, side="right") - 1).tolist(), name, first, ends)) == sorted(own)
+
+
 def test_repeated_windows_share_an_anchor():
     r = np.random.default_rng(7)
     for trial in range(200):
@@ -398,10 +501,10 @@ def test_cycles_of_one_symbol_share_an_anchor():
 
 
 def test_repeated_lines_of_eight_words(spark):
-    r, hashed = random.Random(13), {}
+    r = random.Random(13)
     vocabulary = [f"v{i}" for i in range(3000)]
-    rows = spark.createDataFrame([(w,) for w in vocabulary], "w string").selectExpr("w", "xxhash64(w) h").collect()
-    hashed = {x.w: x.h for x in rows}
+    data = " ".join(vocabulary).encode()
+    hashed = dict(zip(vocabulary, word_hashes(np.frombuffer(data, np.uint8), np.array([0, len(data)]))[0]))
     lines = []
     while len(lines) < 2:
         line = r.sample(vocabulary, 8)
@@ -510,6 +613,23 @@ def test_bounds_lose_nothing():
             assert [i for i, _ in index.search(terms, 0.3)] == np.nonzero(scores >= 0.3 - 1e-9)[0].tolist()
 
 
+def test_leaks_without_bounds_are_the_same(spark):
+    """Every part is scored for every passage of every text: nothing that the bounds skip is a hit."""
+    items = duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet' ORDER BY 1").fetchall()
+    index = Index(items)
+
+    def score_all(terms, threshold):
+        scores = np.zeros(len(index.parts))
+        for t in terms:
+            at = slice(index.start[t], index.start[t + 1])
+            scores[index.item[at]] += index.impact[at]
+        return [(int(i), float(scores[i])) for i in np.nonzero(scores >= threshold - 1e-9)[0]]
+
+    index.search, index.dense, index.most = score_all, None, np.full(len(index.most), 1.0)
+    want = {(d, x["item_id"], round(x["score"], 6), round(x["question"], 6), round(x["answer"], 6)) for d, t, _ in docs_of() if t for x in index.leaks(t)}
+    assert {tuple(r) for r in Q.op9_decontaminate(spark, SF).collect()} == want and want
+
+
 def test_passes_change_nothing(spark, monkeypatch):
     from eventloom.llm import decontaminate as D
 
@@ -583,8 +703,6 @@ def test_phones_of_all_codes(spark):
 
 def test_pseudonyms_are_a_permutation(spark):
     """Different values stay different: all days of two years, and neighbouring numbers."""
-    from pyspark.sql import functions as F
-
     days = spark.range(731).select(F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int")).cast("string").alias("text"))
     ips = spark.range(1000).select(F.concat(F.lit("10.0.1."), (F.col("id") % 250).cast("string")).alias("text"))
     for df, n in ((days, 731), (ips, 250)):
@@ -642,12 +760,11 @@ def test_pipeline(spark):
     rows = [(i, "\n".join(s for s in t.split("\n") if not key(s) or seen[key(s)] < 10)) for i, t in rows]
     kept = brute_components(rows, 5)
     rows = [(i, t) for i, t in rows if kept[i][2]]
-    items = [u for (u,) in duckdb.sql(f"SELECT text FROM '{SF}/benchmark.parquet'").fetchall()]
-    clean = [(i, t) for i, t in rows if not any(u in t for u in items)]
+    index = Index(duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet' ORDER BY 1").fetchall())
+    clean = [(i, t) for i, t in rows if not index.leaks(t)]
     bpe = PieceBpe(Q.tokenizer_path("piece_bpe_32k.model"))
     want = {i: hashlib.sha256(",".join(map(str, bpe.processor.encode(t))).encode()).hexdigest() for i, t in clean}
-    got = {r.doc_id: r.ids_sha256 for r in P.run(spark, SF).collect()}
-    assert set(got) <= set(want) and len(got) >= 0.98 * len(want) and all(want[i] == h for i, h in got.items())
+    assert {r.doc_id: r.ids_sha256 for r in P.run(spark, SF).collect()} == want
     assert [n for n, _ in P.STAGES] == ["language", "lines", "near_duplicates", "benchmark", "pieces"]
 
 
@@ -668,3 +785,23 @@ def test_pipeline_keeps_columns(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for _, stage in P.STAGES[:-1]:
         assert stage(spark, docs, SF).columns == docs.columns
+
+
+def test_pipeline_stages_awkward(spark):
+    """Nulls, repeats, long and empty texts, clashing names and empty tables, through each stage on its own."""
+    import corpus_pipeline as P
+
+    rows = [(i, t, None if i == 3 else "en", None, n) for n, (i, t) in enumerate(AWKWARD)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").withColumn("Doc", F.lit(1)).withColumn("Score", F.lit(2)).withColumn("N_Dropped", F.lit(3))
+    docs = docs.select("*", F.lit(4).alias("LEAKS"), F.lit(5).alias("TEXT"), F.lit(6).alias("Doc_Id"))
+    ids = lambda df: collections.Counter(r[0] for r in df.collect())
+    every = collections.Counter(i for i, _ in AWKWARD)
+    kept = {
+        "language": collections.Counter({i: n for i, n in every.items() if i not in (1, 2, 3, None)}) + collections.Counter([None]),
+        "lines": every, "near_duplicates": every - collections.Counter([7]), "benchmark": every, "pieces": every,
+    }
+    for name, stage in P.STAGES:
+        out = stage(spark, docs, SF)
+        assert ids(out) == kept[name], name
+        assert name == "pieces" or out.columns == docs.columns
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
