@@ -4,22 +4,23 @@ from __future__ import annotations
 
 import argparse
 import json
-import os
+import logging
 import sys
 from collections.abc import Sequence
 
-from pyspark.sql import functions as F
-
 from .operators import codes, crossref
 from .operators.predicate import unrecognized_codes
 from .operators.sampling import FileIndex, FilteredSampler, sample_daily
 from .plans import config as configs
 from .plans import stages
+from .plans.store import Store
 from .sources.ingest import export, read_parquet_dir
-from .sources.listing import RemoteFile, scrape
-from .sources.periods import check_window, overlaps, period_columns
+from .sources.listing import http_transport, list_remote, scrape
+from .sources.periods import check_window
 from .sources.specs import DATASETS, spec
 
+log = logging.getLogger("eventloom")
+
 
 def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="eventloom", description=__doc__)
@@ -44,7 +45,7 @@ def build_parser() -> argparse.ArgumentParser:
         s.add_argument("--force", action="store_true")
         s.add_argument("--dry-run", action="store_true")
         if name == "scrape":
-            s.add_argument("--list", required=True, help="file with `size md5 url` lines")
+            s.add_argument("--list", help="URL or path of an HTML index or of `size md5 url` lines (.txt); else that of the configuration")
         else:
             s.add_argument("--delete-source", action="store_true")
     s = add("sample")
@@ -53,6 +54,8 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("-n", type=int, default=1000)
     s.add_argument("--seed", type=int, default=42)
     s.add_argument("--per-day", type=int, default=10)
+    s.add_argument("--date-column")
+    s.add_argument("--scope", choices=("day", "file"), default="day")
     s.add_argument("--filter")
     s.add_argument("--columns", nargs="*")
     s.add_argument("--stratify")
@@ -80,27 +83,20 @@ def _spark():
     return SparkSession.builder.appName("eventloom").config("spark.sql.session.timeZone", "UTC").getOrCreate()
 
 
-def _table(spark, cfg: dict, dataset: str, source: str, start: str | None = None, end: str | None = None):
-    """A stage's table; with a window, the rows whose raw file's period touches it, or has none."""
-    df = read_parquet_dir(spark, os.path.join(configs.folder(cfg, dataset, source), "table"))
-    if not (start or end):
-        return df
-    first, last = period_columns(F.col("_src_file"), spec(dataset).period)
-    return df.where(overlaps(first, last, start, end, keep_undated=True))
-
-
 def _sample(args: argparse.Namespace, cfg: dict) -> None:
     spark, ids = _spark(), spec(args.dataset).required[:1]
-    df = _table(spark, cfg, args.dataset, args.source, args.start_date, args.end_date)
+    block = json.loads(args.filter) if args.filter else None
+    if args.mode == "filtered" and block and (args.start_date or args.end_date):
+        log.warning("a window of days chooses files, a filter rows within them: both apply")
+    df = Store(spark, configs.folder(cfg, args.dataset, args.source), args.dataset).read(args.start_date, args.end_date)
     if args.mode == "daily":
-        out = sample_daily(df, args.per_day, args.seed, "Day" if "Day" in df.columns else spec(args.dataset).numeric[0], ids)
+        out = sample_daily(df, args.per_day, args.seed, args.date_column or ("Day" if "Day" in df.columns else spec(args.dataset).numeric[0]), ids, args.scope, args.columns)
     elif args.mode == "indexed":
-        out = FileIndex(spark, os.path.join(configs.folder(cfg, args.dataset, args.source), "table")).sample(args.n, args.seed)
-        out = out.select(args.columns) if args.columns else out
+        out = FileIndex(spark, table=df).sample(args.n, args.seed)
+        out = out.select(*(f"`{c}`" for c in args.columns)) if args.columns else out
     else:
-        block = json.loads(args.filter) if args.filter else None
         for column, value in unrecognized_codes(block or {}):
-            print(f"warning: {value!r} is no known code of {column}", file=sys.stderr)
+            log.warning("%r is no known code of %s", value, column)
         sampler = FilteredSampler(df, block, args.columns, args.seed, ids)
         out = sampler.stratified(args.stratify, args.n_per_group) if args.stratify else sampler.sample(args.n)
     print(export(out, args.out, args.export_format))
@@ -108,8 +104,18 @@ def _sample(args: argparse.Namespace, cfg: dict) -> None:
 
 def _crossref(args: argparse.Namespace, cfg: dict) -> None:
     spark = _spark()
-    table = lambda d: _table(spark, cfg, d, args.source, args.start_date, args.end_date)
+    windowed = bool(args.start_date or args.end_date)
+
+    def table(dataset: str):
+        store = Store(spark, configs.folder(cfg, dataset, args.source), dataset)
+        crossref.warn_folder(store.manifest.latest().count(), dataset, windowed)
+        return store.read(args.start_date, args.end_date)
+
     events = read_parquet_dir(spark, args.events)
+    crossref.warn_events_input(events)
+    since = {"v1": crossref.DIRECT_SINCE, "v1-counts": crossref.DIRECT_SINCE, "v2": crossref.BRIDGE_SINCE, "auto": crossref.DIRECT_SINCE}[args.gkg_version]
+    if "DATEADDED" in events.columns:
+        crossref.warn_coverage(events, "DATEADDED", since)
     options = {"on_duplicate_document": args.on_duplicate_document, "dedupe_mentions": args.collapse_duplicate_mentions}
     if args.gkg_version in ("v1", "v1-counts"):
         out = crossref.direct(events, table("gkg_v1" if args.gkg_version == "v1" else "gkg_v1_counts"), args.columns)
@@ -132,34 +138,52 @@ def _codes(args: argparse.Namespace) -> None:
 
 
 def run(args: argparse.Namespace) -> None:
+    if args.command != "codes":
+        check_window(args.start_date, args.end_date)
+    cfg = configs.load(args.config)
+    if cfg["code_lists"]:
+        codes.load_folder(cfg["code_lists"])
     if args.command == "codes":
         return _codes(args)
-    check_window(args.start_date, args.end_date)
-    cfg = configs.load(args.config)
     if args.command == "sample":
         return _sample(args, cfg)
     if args.command == "crossref":
         return _crossref(args, cfg)
     folder = lambda stage: configs.folder(cfg, args.dataset, stage)
-    window = {"start_date": args.start_date, "end_date": args.end_date, "order": args.order, "dry_run": args.dry_run}
+    window = {"start_date": args.start_date, "end_date": args.end_date, "order": args.order, "dry_run": args.dry_run, "force": args.force}
+    d = args.dataset
     if args.command == "scrape":
-        with open(args.list, encoding="utf-8") as f:
-            parts = [line.split() for line in f]
-        listed = [RemoteFile(u, m.lower(), int(s) if s.isdigit() else None) for s, m, u in (x for x in parts if len(x) == 3)]
-        result: object = {k: len(v) for k, v in scrape(listed, folder("raw"), args.dataset, workers=cfg["workers"], **window).items()}
+        place = args.list or cfg["lists"][d]
+        if not place:
+            raise ValueError(f"where are the files of {d} listed? Give --list or set lists.{d}")
+        listed = list_remote(d, place, cfg["timeout_s"])
+        result = scrape(listed, folder("raw"), d, transport=http_transport(cfg["timeout_s"]), workers=cfg["workers"], retries=cfg["retries"], wait_s=cfg["retry_wait_s"], **window)
+        log.info("scrape: %s", {k: len(v) for k, v in result.items()})
+        for how, urls in result.items():
+            for u in urls:
+                log.debug("%s: %s", how, u)
+        failed = result["failed"]
     else:
-        more = {"force": args.force, "delete_source": args.delete_source, "compression": cfg["compression"], **window}
+        hive_by = cfg["hive_by"] if cfg["historical"] else None
+        more = {"delete_source": args.delete_source, "compression": cfg["compression"], "hive_by": hive_by, **window}
         if args.command == "convert":
-            result = stages.convert(_spark(), folder("raw"), folder("converted"), args.dataset, **more)
+            done = stages.convert(_spark(), folder("raw"), folder("converted"), d, cfg["converted_columns"][d], **more)
         else:
-            d = args.dataset
-            result = stages.filter_files(_spark(), os.path.join(folder("converted"), "table"), folder("filtered"), d, cfg["columns_to_check"][d], cfg["output_columns"][d], cfg["float32_columns"][d], **more)
-    if not args.quiet:
-        print(result)
+            done = stages.filter_files(_spark(), folder("converted"), folder("filtered"), d, cfg["columns_to_check"][d], cfg["output_columns"][d], cfg["float32_columns"][d], **more)
+        log.info("%s: %d processed, %d skipped, %d pending, %d failed, rows %d to %d", args.command, len(done.processed), len(done.skipped), len(done.pending), len(done.failed), done.rows_before, done.rows_after)
+        for how in ("processed", "skipped", "pending"):
+            for name in getattr(done, how):
+                log.debug("%s: %s", how, name)
+        failed = done.failed
+    if failed:
+        raise ValueError(f"{args.command} ended with {len(failed)} failed files, the first: {failed[:5]}")
 
 
 def main(argv: Sequence[str] | None = None) -> int:
     args = build_parser().parse_args(argv)
+    level = logging.DEBUG if getattr(args, "verbose", False) else logging.WARNING if getattr(args, "quiet", False) else logging.INFO
+    logging.basicConfig(format="%(levelname)s %(message)s", stream=sys.stderr)
+    logging.getLogger("eventloom").setLevel(level)
     try:
         run(args)
     except KeyboardInterrupt:

@@ -12,6 +12,7 @@ import logging
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..sources.specs import spec
 
@@ -63,9 +64,29 @@ def direct(events: DataFrame, articles: DataFrame, columns: list[str] | None = N
     require(events, event_id)
     require(articles, ids_col)
     chosen = _chosen(articles, columns, ids_col)
-    packed = explode_ids(articles.select(*map(_q, chosen)), ids_col).select("_event_id", *(_q(c).alias(prefix + c) for c in chosen))
     keyed = events.withColumn("_event_id", id_text(_q(event_id)))
-    return keyed.join(packed, "_event_id").select(*(_q(c) for c in events.columns), *(_q(prefix + c) for c in chosen))
+    out = [*(_q(c) for c in events.columns), *(_q(prefix + c) for c in chosen)]
+    payload = [_q(c).alias(prefix + c) for c in chosen]
+    if (placed := _addressed(articles)) is None:  # no files behind it: a small table of the caller's
+        return keyed.join(explode_ids(articles, ids_col).select("_event_id", *payload), "_event_id").select(*out)
+    # only (place, id) is exploded; an article's payload moves once, and only if one of its ids is wanted
+    ids = explode_ids(placed.select(*ADDRESS, _q(ids_col)), ids_col).select(*ADDRESS, "_event_id")
+    hits = ids.join(keyed.select("_event_id").distinct(), "_event_id", "left_semi")
+    wanted = placed.select(*ADDRESS, *payload).join(hits.select(*ADDRESS).distinct(), list(ADDRESS), "left_semi")
+    return keyed.join(hits, "_event_id").join(wanted, list(ADDRESS)).select(*out)
+
+
+#: A row's place in the Parquet files read: unique, and cheap to read.
+ADDRESS = ("_at_file", "_at_row")
+
+
+def _addressed(df: DataFrame) -> DataFrame | None:
+    """The table with each row's place in its files; None if it isn't read straight from files."""
+    name, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    try:
+        return df.select("*", name.alias(ADDRESS[0]), row.alias(ADDRESS[1]))
+    except AnalysisException:
+        return None
 
 
 def collapse_mentions(mentions: DataFrame, keys: tuple[str, str], best: str | None, ties: list[Column], count_as: str = "Mention_Count") -> DataFrame:
@@ -122,25 +143,45 @@ def two_hop(
         raise ValueError(f"records are chosen by one of {RECORD_MODES}")
     chosen = _chosen(articles, columns, article_doc)
     extras = [c for c in extra if c in mentions.columns]
-    bridge = mentions
+    if dedupe_mentions and mention_ties is None:
+        mentions, mention_ties = with_file_order(mentions), list(map(_q, PLACE))
+    bridge = mentions_of(mentions, events, event_id, mention_event)
     if dedupe_mentions:
-        if mention_ties is None:
-            bridge, mention_ties = with_file_order(mentions), list(map(_q, PLACE))
-        # only the sample's mentions are ranked
-        ids = events.select(_q(event_id).alias("_wanted")).distinct()
-        bridge = bridge.join(ids, _q(mention_event) == _q("_wanted"), "left_semi")
         bridge = collapse_mentions(bridge, (mention_event, mention_doc), best if best in mentions.columns else None, mention_ties)
     counted = ["Mention_Count"] if dedupe_mentions else []
     bridge = bridge.select(_q(mention_event).alias("_m_event"), _q(mention_doc).alias("_m_doc"), *(_q(c).alias(f"Mention_{c}") for c in extras), *counted)
     if on_duplicate_document != "all":
         if record_order is None:
             articles, record_order = with_file_order(articles), list(map(_q, PLACE))
+        # only documents that the sample's mentions name are ranked
+        articles = articles.join(bridge.select("_m_doc").distinct(), _q(article_doc) == _q("_m_doc"), "left_semi")
         articles = one_record(articles, article_doc, on_duplicate_document, record_order)
     right = articles.select(*(_q(c).alias(prefix + c) for c in chosen))
     joined = events.join(bridge, _q(event_id) == _q("_m_event")).join(right, _q("_m_doc") == _q(prefix + article_doc))
     return joined.select(*(_q(c) for c in events.columns), *(_q(f"Mention_{c}") for c in extras), *counted, *(_q(prefix + c) for c in chosen))
 
 
+def mentions_of(mentions: DataFrame, events: DataFrame, event_id: str = "GlobalEventID", mention_event: str = "GLOBALEVENTID") -> DataFrame:
+    """The mentions of the given events, each as it was."""
+    ids = events.select(_q(event_id).alias("_wanted")).distinct()
+    return mentions.join(ids, _q(mention_event) == _q("_wanted"), "left_semi")
+
+
+def pair_counts(mentions: DataFrame, event: str = "GLOBALEVENTID", doc: str = "MentionIdentifier") -> DataFrame:
+    """(event, document, n): how often each pair is mentioned; null keys go."""
+    return mentions.where(_q(event).isNotNull() & _q(doc).isNotNull()).groupBy(_q(event), _q(doc)).agg(F.count("*").alias("n"))
+
+
+def distinct_keys(df: DataFrame, column: str) -> DataFrame:
+    """The different values of a column, without null."""
+    return df.where(_q(column).isNotNull()).select(_q(column)).distinct()
+
+
+def fan_out(pairs: DataFrame, key: str, other: str) -> DataFrame:
+    """(key, n): how many different values of `other` stand beside each key."""
+    return pairs.where(_q(key).isNotNull()).groupBy(_q(key)).agg(F.count_distinct(_q(other)).alias("n"))
+
+
 def eligible(events: DataFrame, added: str = "DATEADDED", since: int | None = DIRECT_SINCE) -> DataFrame:
     """Events added since a day; a null day is not eligible."""
     return events.where(_q(added) >= since)
@@ -178,6 +219,28 @@ def warn_coverage(events: DataFrame, added: str, since: int) -> str | None:
     return message
 
 
+def warn_events_input(events: DataFrame, limit: int = 1_000_000) -> str | None:
+    """A warning if very many events are to be joined: a sample is meant."""
+    if not is_large(events, limit):
+        return None
+    message = f"more than {limit} events are to be joined with their articles; a sample makes the result smaller"
+    log.warning(message)
+    return message
+
+
+#: Raw files of a table from which on listing them is slow.
+LARGE_FOLDER = 50_000
+
+
+def warn_folder(n_files: int, name: str, windowed: bool, limit: int = LARGE_FOLDER) -> str | None:
+    """A warning if a table of very many raw files is read without a window of days."""
+    if windowed or n_files <= limit:
+        return None
+    message = f"{name} comes from {n_files} files; a window of days makes the join read fewer"
+    log.warning(message)
+    return message
+
+
 def is_large(df: DataFrame, limit: int = 1_000_000) -> bool:
     """Are there more rows than this?  Stops counting there."""
     return df.limit(limit + 1).count() > limit

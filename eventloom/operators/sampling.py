@@ -30,8 +30,8 @@ def _top(df: DataFrame, by: list[Column], n: int, seed: int, id_cols: tuple[str,
     return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= n).drop("_rank")
 
 
-def sample_daily(df: DataFrame, per_day: int = 10, seed: int = 42, date_col: str | Column = "Day", id_cols: tuple[str, ...] = ("GlobalEventID",), scope: str = "day") -> DataFrame:
-    """Up to per_day rows for each day; rows without a day go.
+def sample_daily(df: DataFrame, per_day: int = 10, seed: int = 42, date_col: str | Column = "Day", id_cols: tuple[str, ...] = ("GlobalEventID",), scope: str = "day", columns: list[str] | None = None) -> DataFrame:
+    """Up to per_day rows for each day; rows without a day go.  With `columns`, only these and the date column, in the table's order.
 
     scope "file" takes as many for each day of each file; it needs a table read from files.
     A table without the column has no sample.
@@ -39,13 +39,22 @@ def sample_daily(df: DataFrame, per_day: int = 10, seed: int = 42, date_col: str
     if scope not in ("day", "file"):
         raise ValueError("scope is day or file")
     if isinstance(date_col, str):
-        if date_col not in df.columns:
+        name = date_col
+        if name not in df.columns:
             return df.limit(0)
-        date_col = F.col(f"`{date_col}`")
+        date_col = F.col(f"`{name}`")
+        named_date = {name}
+    else:
+        named_date = set()
+    unknown = set(columns or ()) - set(df.columns)
+    if unknown:
+        raise ValueError(f"unknown columns: {sorted(unknown)}")
+    kept = [F.col(f"`{c}`") for c in df.columns if not columns or c in columns or c in named_date]
     if scope == "day":
-        return _top(df.where(date_col.isNotNull()), [date_col], per_day, seed, id_cols)
-    named = df.select("*", F.col("_metadata.file_path").alias("_file")).where(date_col.isNotNull())
-    return _top(named, [F.col("_file"), date_col], per_day, seed, id_cols).drop("_file")
+        return _top(df.where(date_col.isNotNull()), [date_col], per_day, seed, id_cols).select(*kept)
+    file = F.col("_src_file") if "_src_file" in df.columns else F.col("_metadata.file_path")
+    named = df.select("*", file.alias("_file")).where(date_col.isNotNull())
+    return _top(named, [F.col("_file"), date_col], per_day, seed, id_cols).select(*kept)
 
 
 def sample_stratified(df: DataFrame, by: str, n_per_group: int, seed: int = 42, id_cols: tuple[str, ...] = ("GlobalEventID",)) -> DataFrame:
@@ -99,12 +108,19 @@ class Rng:
 
 
 class FileIndex:
-    """Positions 0..total-1 over the rows of files in order of their paths; a row of metadata for each file."""
+    """Positions 0..total-1 over the rows of files in order of their names; a row of metadata for each file.
 
-    def __init__(self, spark: SparkSession, *paths: str) -> None:
-        self.spark = spark
-        self.df = spark.read.option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(*paths)
-        found = self.df.groupBy(F.col("_metadata.file_path").alias("f")).count().orderBy("f").collect()
+    Rows are those of Parquet files, or of a table that names each row's file and its place there.
+    """
+
+    def __init__(self, spark: SparkSession, *paths: str, table: DataFrame | None = None, place: tuple[str, str] = ("_src_file", "_src_row")) -> None:
+        self.spark, self.place = spark, place if table is not None else None
+        if table is None:
+            self.df = spark.read.option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(*paths)
+        else:
+            self.df = table
+        name = F.col("_metadata.file_path") if table is None else F.col(f"`{place[0]}`")
+        found = self.df.groupBy(name.alias("f")).count().orderBy("f").collect()
         self.files = [r.f for r in found]
         self.counts = [r["count"] for r in found]
         self.stops = np.cumsum(self.counts).tolist()
@@ -132,13 +148,24 @@ class FileIndex:
         drawn = np.sort(Rng(seed).choice(self.total_rows, n)) if n > 0 else np.zeros(0, dtype=np.int64)
         rows = [(self.files[i], r, g) for g in drawn.tolist() for i, r in [self.lookup(g)]]
         want = self.spark.createDataFrame(rows, "_f string, _r long, _g long")
-        have = self.df.select("*", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.row_index").alias("_r"))
+        if self.place is None:
+            have = self.df.select("*", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.row_index").alias("_r"))
+        else:  # rows may have been dropped since: they are numbered anew, within the files drawn from
+            name, row = (F.col(f"`{c}`") for c in self.place)
+            some = self.df.withColumn("_f", name).join(want.select("_f").distinct(), "_f", "left_semi")
+            have = some.withColumn("_r", (F.row_number().over(Window.partitionBy("_f").orderBy(row)) - 1).cast("long"))
         return have.join(want, ["_f", "_r"]).orderBy("_g").drop("_f", "_r", "_g")
 
 
-def locate(positions: DataFrame, index: DataFrame) -> DataFrame:
-    """(g, file, row) of positions (g) by an index (file, start, stop)."""
-    return positions.join(index, (F.col("g") >= F.col("start")) & (F.col("g") < F.col("stop"))).select("g", "file", (F.col("g") - F.col("start")).alias("row"))
+def locate(positions: DataFrame, index: DataFrame, bucket: int = 1 << 20) -> DataFrame:
+    """(g, file, row) of positions (g) by an index (file, start, stop).
+
+    An equi-join on numbers of buckets of positions: a file's range is listed under each bucket that it
+    touches, so no position is held against all files.
+    """
+    spans = index.where("stop > start").withColumn("_b", F.explode(F.sequence(F.floor(F.col("start") / bucket), F.floor((F.col("stop") - 1) / bucket))))
+    at = positions.withColumn("_b", F.floor(F.col("g") / bucket))
+    return at.join(spans, "_b").where("g >= start and g < stop").select("g", "file", (F.col("g") - F.col("start")).alias("row"))
 
 
 def file_offsets(counts: DataFrame) -> DataFrame:

@@ -18,10 +18,17 @@ def defaults() -> dict[str, Any]:
         "root": "data",
         "compression": "zstd",
         "workers": 8,
+        "converted_columns": dict.fromkeys(DATASETS),
         "columns_to_check": {d: list(s.required) for d, s in DATASETS.items()},
         "output_columns": dict.fromkeys(DATASETS),
         "float32_columns": {d: [] for d in DATASETS},
-        "hive_by": ["Year", "MonthYear"],
+        "historical": False,
+        "hive_by": {"yearly": ["Year", "MonthYear"], "monthly": ["Year", "MonthYear"]},
+        "lists": dict.fromkeys(DATASETS),
+        "timeout_s": 30,
+        "retries": 3,
+        "retry_wait_s": 1,
+        "code_lists": None,
     }
 
 

@@ -7,13 +7,15 @@ articles with packed ids.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import coerce, tags
-from ..operators import clean, codes, crossref, predicate, sampling
+from ..operators import clean, codes, crossref, measures, predicate, sampling
 from ..sources import ingest, listing, periods
 from ..sources.specs import DatasetSpec
 from . import manifest
@@ -55,41 +57,52 @@ def scan_project(spark, d):
     return table(spark, d, "lineitem").where("l_quantity > 45").select("l_orderkey", "l_partkey", "l_quantity")
 
 
-LIST_LINES = [
-    ("100 ABCDEF0123456789ABCDEF0123456789 http://x.org/v2/20200101000000.gkg.csv.zip",), ("12x aa http://x.org/v2/20200101001500.gkg.csv.zip",),
-    ("7 bb http://x.org/v2/20200101000000.mentions.CSV.zip",), ("",), ("only two",), ("1 2 3 4",), ("  9\tcc   http://x.org/v2/20200101003000.gkg.csv.zip ",),
-]
+#: File names by orders' days, as SQL that both engines read: of all kinds, and some of no valid period.
+_DATED = """(SELECT o_orderkey AS id, CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS STRING) AS ymd,
+    CAST(year(o_orderdate) * 100 + month(o_orderdate) AS STRING) AS ym, CAST(year(o_orderdate) AS STRING) AS y FROM orders) AS dated"""
+_ENDINGS = (
+    "ymd || '.export.CSV.zip'", "ymd || '.export.parquet'", "ymd || '.export_filtered.parquet'", "ym || '.zip'", "y || '.zip'", "ymd || '.gkg.csv.zip'", "ymd || '001500.gkg.csv.zip'",
+    "ymd || '250000.mentions.CSV.zip'", "y || '13.parquet'", "y || '0230.export.parquet'", "'misc' || ymd || '.parquet'", "ymd || '120000.mentions.parquet'",
+)
+_NAMED = f"(SELECT id, CASE id % {len(_ENDINGS)} " + " ".join(f"WHEN {i} THEN {e}" for i, e in enumerate(_ENDINGS)) + f" END AS f FROM {_DATED}) AS named"
+
+
+def both_sql(spark: SparkSession, d: str, sql: str) -> DataFrame:
+    """SQL over orders that Spark and the other engine read alike."""
+    return spark.sql(sql.replace("FROM orders", "FROM {orders}"), orders=table(spark, d, "orders"))
+
+
+_LIST_LINES = f"""(SELECT id, CASE id % 5 WHEN 0 THEN CAST(id AS STRING) || ' ' || upper(md5(f)) || ' http://x.org/v2/' || f WHEN 1 THEN '  ' || CAST(id AS STRING) || chr(9) || 'cc   http://x.org/v2/' || f || ' '
+    WHEN 2 THEN '1x' || ' aa http://x.org/v2/' || f WHEN 3 THEN 'only ' || f ELSE '1 2 3 ' || f END AS line FROM {_NAMED}) AS lines"""
 
 
 @query(
     rf"""SELECT p[3] AS url, lower(p[2]) AS md5, CASE WHEN regexp_full_match(p[1], '[0-9]{{1,18}}') THEN p[1] END AS size
-    FROM (SELECT regexp_split_to_array(trim(line, ' ' || chr(9)), '\s+') AS p FROM {values(LIST_LINES, "v", "line")}) WHERE len(p) = 3 AND p[3] LIKE '%.gkg.csv.zip'"""
+    FROM (SELECT regexp_split_to_array(trim(line, ' ' || chr(9)), '\s+') AS p FROM {_LIST_LINES}) WHERE len(p) = 3 AND p[3] LIKE '%.gkg.csv.zip'"""
 )
 def scan_filelist(spark, d):
-    return listing.master_list(given(spark, LIST_LINES, "value string"), "gkg_v2").withColumn("size", F.col("size").cast("string"))
+    lines = both_sql(spark, d, f"SELECT line AS value FROM {_LIST_LINES}")
+    return listing.master_list(lines, "gkg_v2").withColumn("size", F.col("size").cast("string"))
 
 
-HTML_LINES = [
-    ('<LI><A HREF="20200101.export.CSV.zip">20200101.export.CSV.zip</A> (1MB) (MD5: 0123456789ABCDEF0123456789abcdef)',), ('<li><a href="https://x.org/e/202001.zip">m</a>',),
-    ('<a href="/e/2013.zip">y</a> MD5: zz',), ('<a href="md5sums">sums</a>',), ("no link",), ('<a href="20200101.gkg.csv.zip">other</a>',),
-]
+_HTML_LINES = f"""(SELECT CASE id % 4 WHEN 0 THEN '<LI><A HREF="' || f || '">' || f || '</A> (1MB) (MD5: ' || upper(md5(f)) || ')' WHEN 1 THEN '<li><a href="https://x.org/e/' || f || '">m</a>'
+    WHEN 2 THEN '<a href="/e/' || f || '">y</a> MD5: zz' ELSE 'no link to ' || f END AS line FROM {_NAMED}) AS lines"""
 
 
 @query(
-    rf"""WITH h AS (SELECT line, regexp_extract(line, '(?i)href=["'']?([^"'' >]+)', 1) AS href FROM {values(HTML_LINES, "v", "line")}),
+    rf"""WITH h AS (SELECT line, regexp_extract(line, '(?i)href=["'']?([^"'' >]+)', 1) AS href FROM {_HTML_LINES}),
     u AS (SELECT regexp_replace(CASE WHEN regexp_matches(href, '(?i)^https?://') THEN href ELSE 'http://x.org/e/' || ltrim(href, '/') END, '(?i)^https://', 'http://') AS url,
                  nullif(lower(regexp_extract(line, '(?i)MD5:?\s*([0-9a-f]{{32}})', 1)), '') AS md5 FROM h WHERE href <> '')
     SELECT * FROM u WHERE regexp_matches(regexp_extract(url, '([^/]+)$', 1), '{listing.FILE_PATTERNS["events"]}')"""
 )
 def html_links(spark, d):
-    return listing.html_links(given(spark, HTML_LINES, "value string"), "http://x.org/e", "events")
+    return listing.html_links(both_sql(spark, d, f"SELECT line AS value FROM {_HTML_LINES}"), "http://x.org/e", "events")
 
 
-@query(
-    f"""SELECT url, CASE WHEN url IN ('h/a.zip', 'h/c.zip') THEN 'skip' ELSE 'fetch' END AS action FROM {values([("h/a.zip",), ("h/b.zip",), ("h/c.zip",)], "v", "url")}"""
-)
+@query(f"SELECT 'h/' || f AS url, CASE WHEN f IN (SELECT f FROM {_NAMED} WHERE id % 7 < 3) THEN 'skip' ELSE 'fetch' END AS action FROM {_NAMED}")
 def fetch_plan(spark, d):
-    return listing.fetch_plan(given(spark, [("h/a.zip",), ("h/b.zip",), ("h/c.zip",)], "url string"), given(spark, [("a.zip",), ("c.zip",), ("z.zip",)], "name string"))
+    names = both_sql(spark, d, f"SELECT id, f FROM {_NAMED}")
+    return listing.fetch_plan(names.select(F.concat(F.lit("h/"), "f").alias("url")), names.where("id % 7 < 3").select(F.col("f").alias("name")))
 
 
 @query("SELECT count(*)::BIGINT AS n_files, sum(o_custkey)::BIGINT AS n_bytes, count(*) > 5000 AS large FROM orders")
@@ -112,27 +125,25 @@ def tsv_parse(spark, d):
     return ingest.parse_tsv(o.select(line.alias("value")), LINE_SPEC).withColumn("o_custkey", F.col("o_custkey").cast("string"))
 
 
-NUMBERS = [(1, "12"), (2, " 3.5 "), (3, "abc"), (4, ""), (5, "1e3"), (6, "1d"), (7, "nan"), (8, "-.5"), (9, "+7."), (10, "0x1A"), (11, None), (12, "1,000")]
+_NUMBERS = """(SELECT o_orderkey, CASE o_orderkey % 12 WHEN 0 THEN k WHEN 1 THEN ' ' || k || '.5 ' WHEN 2 THEN 'n' || k WHEN 3 THEN '' WHEN 4 THEN k || 'e3' WHEN 5 THEN k || 'd' WHEN 6 THEN 'nan'
+    WHEN 7 THEN '-.' || k WHEN 8 THEN '+' || k || '.' WHEN 9 THEN '0x' || k WHEN 10 THEN NULL ELSE '1,' || k END AS v FROM (SELECT o_orderkey, CAST(o_custkey AS STRING) AS k FROM orders) AS o) AS numbers"""
 
 
-@query(rf"SELECT i, CASE WHEN regexp_matches(trim(v), '{coerce.NUMBER}') THEN try_cast(rtrim(trim(v), '.') AS DOUBLE) END AS x FROM {values(NUMBERS, 'v', 'i, v')}".replace("SELECT i", "SELECT i::INT AS i"))
+@query(rf"SELECT o_orderkey, CASE WHEN regexp_matches(trim(v), '{coerce.NUMBER}') THEN try_cast(rtrim(trim(v), '.') AS DOUBLE) END AS x FROM {_NUMBERS}")
 def numeric_coerce(spark, d):
-    return given(spark, NUMBERS, "i int, v string").select("i", coerce.to_number(F.col("v")).alias("x"))
+    return both_sql(spark, d, f"SELECT o_orderkey, v FROM {_NUMBERS}").select("o_orderkey", coerce.to_number(F.col("v")).alias("x"))
 
 
 SPELLINGS = [(i, v) for i, v in enumerate([*coerce.NULL_SPELLINGS, "none", "Na", "0", "nil"])]
+_SPELLED = f"(SELECT o_orderkey, i, v FROM orders JOIN {values(SPELLINGS, 't', 'i, v')} ON o_orderkey % {len(SPELLINGS)} = i) AS spelled"
 
 
-@query(f"SELECT i::INT AS i, CASE WHEN i < {len(coerce.NULL_SPELLINGS)} THEN NULL ELSE v END AS v FROM {values(SPELLINGS, 't', 'i, v')}")
+@query(f"SELECT o_orderkey, CASE WHEN i < {len(coerce.NULL_SPELLINGS)} THEN NULL ELSE v END AS v FROM {_SPELLED}")
 def na_strings(spark, d):
-    return given(spark, SPELLINGS, "i int, v string").select("i", coerce.null_spelled(F.col("v")).alias("v"))
+    return both_sql(spark, d, f"SELECT o_orderkey, v FROM {_SPELLED}").select("o_orderkey", coerce.null_spelled(F.col("v")).alias("v"))
 
 
-FILES = [
-    ("20200101.export.CSV.zip",), ("20200229.export.parquet",), ("20200230.export.parquet",), ("202002.zip",), ("202013.parquet",), ("2019.zip",), ("20200101.gkg.csv.zip",),
-    ("20200101001500.gkg.csv.zip",), ("20200101250000.mentions.CSV.zip",), ("20200315.export_filtered.parquet",), ("misc.parquet",), ("20210704120000.mentions.parquet",),
-]
-_NAMES = values(FILES, "v", "f")
+_NAMES = _NAMED
 _CLEAN = "regexp_replace(f, '_filtered\\.parquet$', '.parquet')"
 _EVENTS_PERIOD = f"""SELECT f, coalesce(dd, mm, yy)::VARCHAR AS s, coalesce(dd, last_day(mm), last_day((yy + INTERVAL 11 MONTH)::DATE))::VARCHAR AS e FROM (
     SELECT f, try_strptime(nullif(regexp_extract(n, '^([0-9]{{8}})\\.export\\.(CSV\\.zip|csv\\.zip|CSV|csv|parquet)$', 1), ''), '%Y%m%d')::DATE AS dd,
@@ -141,9 +152,9 @@ _EVENTS_PERIOD = f"""SELECT f, coalesce(dd, mm, yy)::VARCHAR AS s, coalesce(dd,
 _TYPE = "CASE " + " ".join(f"WHEN regexp_matches(f, '^[0-9]{{{n}}}[.]') THEN '{k}'" for n, k in ((14, "quarter_hourly"), (8, "daily"), (6, "monthly"), (4, "yearly"))) + " ELSE 'unknown' END"
 
 
-def _files(spark: SparkSession, grammar: str = "events") -> DataFrame:
+def _files(spark: SparkSession, d: str, grammar: str = "events") -> DataFrame:
     s, e = periods.period_columns(F.col("f"), grammar)
-    return given(spark, FILES, "f string").select("f", s.alias("s"), e.alias("e"))
+    return both_sql(spark, d, f"SELECT f FROM {_NAMED}").select("f", s.alias("s"), e.alias("e"))
 
 
 def _as_text(files: DataFrame) -> DataFrame:
@@ -153,7 +164,7 @@ def _as_text(files: DataFrame) -> DataFrame:
 
 @query(f"SELECT f, {_TYPE} AS kind FROM {_NAMES}")
 def file_type(spark, d):
-    return given(spark, FILES, "f string").select("f", periods.file_type(F.col("f")).alias("kind"))
+    return both_sql(spark, d, f"SELECT f FROM {_NAMED}").select("f", periods.file_type(F.col("f")).alias("kind"))
 
 
 _HIVE = "SELECT o_orderkey, year(o_orderdate)::BIGINT AS \"Year\", (year(o_orderdate) * 100 + month(o_orderdate))::BIGINT AS \"MonthYear\" FROM orders WHERE o_orderstatus <> 'P'"
@@ -167,7 +178,12 @@ def _hive(spark, d):
 
 @query(_HIVE)
 def hive_partition(spark, d):
-    return _hive(spark, d)
+    """Written in folders by year and month, and read back from there."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="eventloom-")
+    path = f"{base.rstrip('/')}/hive-{uuid.uuid4().hex}"
+    ingest.write_hive(_hive(spark, d), path, ["Year", "MonthYear"])
+    back = spark.read.parquet(path)
+    return back.select("o_orderkey", F.col("Year").cast("bigint").alias("Year"), F.col("MonthYear").cast("bigint").alias("MonthYear"))
 
 
 @query(f'SELECT "Year", "MonthYear", count(*)::BIGINT AS n FROM ({_HIVE}) GROUP BY ALL')
@@ -180,29 +196,33 @@ def file_row_counts(spark, d):
     return table(spark, d, "orders").groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("n"))
 
 
-COUNTS = [("a", 5), ("b", 3), ("c", 7)]
-_INDEX = f"SELECT file, (sum(n) OVER (ORDER BY file) - n)::BIGINT AS start, (sum(n) OVER (ORDER BY file))::BIGINT AS stop FROM {values(COUNTS, 'v', 'file, n')}"
+#: Suppliers stand for files, their line items for the rows.
+_COUNTS = "(SELECT 's' || CAST(100000 + l_suppkey AS STRING) AS file, count(*) AS n FROM lineitem GROUP BY l_suppkey) AS counts"
+_INDEX = f"SELECT file, (sum(n) OVER (ORDER BY file) - n)::BIGINT AS start, (sum(n) OVER (ORDER BY file))::BIGINT AS stop FROM {_COUNTS}"
 
 
-@query(_INDEX)
-def file_index(spark, d):
-    return sampling.file_offsets(given(spark, COUNTS, "file string, n bigint"))
+def _offsets(spark, d):
+    files = table(spark, d, "lineitem").groupBy(F.concat(F.lit("s"), (F.lit(100000) + F.col("l_suppkey")).cast("string")).alias("file")).agg(F.count("*").alias("n"))
+    return sampling.file_offsets(files)
 
 
-POSITIONS = [(g,) for g in (0, 2, 4, 5, 8, 9, 14)]
+@query(_INDEX)
+def file_index(spark, d):
+    return _offsets(spark, d)
 
 
-@query(f"SELECT g::BIGINT AS g, file, g - start AS row FROM {values(POSITIONS, 'p', 'g')} JOIN ({_INDEX}) i ON g >= start AND g < stop")
+@query(f"SELECT o_orderkey::BIGINT AS g, file, o_orderkey - start AS row FROM orders JOIN ({_INDEX}) i ON o_orderkey >= start AND o_orderkey < stop")
 def index_lookup(spark, d):
-    return sampling.locate(given(spark, POSITIONS, "g bigint"), sampling.file_offsets(given(spark, COUNTS, "file string, n bigint")))
-
+    return sampling.locate(table(spark, d, "orders").select(F.col("o_orderkey").cast("bigint").alias("g")), _offsets(spark, d), bucket=1000)
 
-DONE = [("a.zip", "convert", "x=1"), ("b.zip", "convert", "x=2"), ("c.zip", "filter", "x=1")]
 
-
-@query(f"SELECT path FROM {values([('a.zip',), ('b.zip',), ('c.zip',)], 'v', 'path')} WHERE path NOT IN (SELECT p FROM {values(DONE, 'm', 'p, s, f')} WHERE s = 'convert' AND f = 'x=1')")
+@query(f"SELECT DISTINCT f AS path FROM {_NAMED} WHERE f NOT IN (SELECT f FROM {_NAMED} WHERE id % 3 = 0)")
 def pending_files(spark, d):
-    return manifest.pending(given(spark, [("a.zip",), ("b.zip",), ("c.zip",)], "path string"), given(spark, DONE, manifest.SCHEMA), "convert", "x=1")
+    """Names marked done under this stage and these settings; others are marked for another stage or other settings."""
+    names = both_sql(spark, d, f"SELECT id, f AS path FROM {_NAMED}")
+    stage = F.when(F.col("id") % 3 == 2, "filter").otherwise("convert")
+    done = names.select("path", stage.alias("stage"), F.when(F.col("id") % 3 == 1, "x=2").otherwise("x=1").alias("fingerprint"))
+    return manifest.pending(names.select("path").distinct(), done, "convert", "x=1")
 
 
 @query("SELECT 'columns=[a,b]' || chr(10) || 'compression=<none>' || chr(10) || 'dataset=events' AS print")
@@ -210,9 +230,13 @@ def fingerprint(spark, d):
     return given(spark, [(manifest.fingerprint(dataset="events", columns=["b", "a"], compression=None),)], "print string")
 
 
-@query("SELECT page_id, md5(html) AS md5 FROM pages")
+@query("SELECT 'p' || page_id AS name, md5(html) AS found, md5(html || 'x') AS md5 FROM pages WHERE page_id % 5 = 0")
 def md5_verify(spark, d):
-    return table(spark, d, "pages").select("page_id", F.md5(F.col("html").cast("binary")).alias("md5"))
+    """Every fifth page is listed with the checksum of something else, every seventh of the others without one."""
+    p = table(spark, d, "pages")
+    files = p.select(F.concat(F.lit("file:/x/p"), F.col("page_id").cast("string")).alias("path"), F.col("html").cast("binary").alias("content"))
+    md5 = F.when(F.col("page_id") % 5 == 0, F.md5(F.concat("html", F.lit("x")))).when(F.col("page_id") % 7 != 0, F.upper(F.md5("html")))
+    return listing.bad_checksums(files, p.select(F.concat(F.lit("http://h/p"), F.col("page_id").cast("string")).alias("url"), md5.alias("md5")))
 
 
 # The filter language.
@@ -300,31 +324,31 @@ def float32_changed(spark, d):
 
 @query(_EVENTS_PERIOD)
 def period_events(spark, d):
-    return _as_text(_files(spark))
+    return _as_text(_files(spark, d))
 
 
 @query(f"SELECT f, s, s AS e FROM (SELECT f, try_strptime(nullif(regexp_extract(f, '^([0-9]{{14}})', 1), ''), '%Y%m%d%H%M%S')::DATE::VARCHAR AS s FROM {_NAMES})")
 def period_quarter(spark, d):
-    return _as_text(_files(spark, "quarter"))
+    return _as_text(_files(spark, d, "quarter"))
 
 
 @query(f"SELECT f, s, s AS e FROM (SELECT f, try_strptime(nullif(regexp_extract(f, '^([0-9]{{8}})', 1), ''), '%Y%m%d')::DATE::VARCHAR AS s FROM {_NAMES})")
 def period_daily(spark, d):
-    return _as_text(_files(spark, "daily"))
+    return _as_text(_files(spark, d, "daily"))
 
 
 def _overlap(keep: bool) -> Query:
-    return lambda spark, d: _as_text(_files(spark).where(periods.overlaps(F.col("s"), F.col("e"), "2020-01-15", "2020-03-01", keep)))
+    return lambda spark, d: _as_text(_files(spark, d).where(periods.overlaps(F.col("s"), F.col("e"), "1995-01-15", "1996-03-01", keep)))
 
 
-_TOUCH = "e >= '2020-01-15' AND s <= '2020-03-01'"
+_TOUCH = "e >= '1995-01-15' AND s <= '1996-03-01'"
 query(f"SELECT * FROM ({_EVENTS_PERIOD}) WHERE {_TOUCH}", "date_overlap_strict")(_overlap(False))
 query(f"SELECT * FROM ({_EVENTS_PERIOD}) WHERE s IS NULL OR ({_TOUCH})", "date_overlap_keep")(_overlap(True))
 
 
 def _sorted(order: str) -> Query:
     def run(spark, d):
-        files = periods.order_by_period(_files(spark), "s", "f", order)
+        files = periods.order_by_period(_files(spark, d), "s", "f", order)
         c = F.col("s").asc_nulls_last() if order == "asc" else F.col("s").desc_nulls_last()
         return _as_text(files.select("f", "s", F.row_number().over(Window.orderBy(c, "f")).cast("bigint").alias("pos")))
 
@@ -440,8 +464,8 @@ def xref_v1_columns(spark, d):
 
 @query("SELECT l_orderkey, l_partkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')")
 def xref_semi(spark, d):
-    keys = table(spark, d, "orders").where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("l_orderkey"))
-    return table(spark, d, "lineitem").join(keys, "l_orderkey", "left_semi").select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice")
+    some = table(spark, d, "orders").where("o_orderstatus = 'P'")
+    return crossref.mentions_of(table(spark, d, "lineitem"), some, "o_orderkey", "l_orderkey").select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice")
 
 
 _TIES = ("l_shipdate", "l_suppkey", "l_linenumber", "l_extendedprice")
@@ -509,12 +533,12 @@ def xref_unmatched(spark, d):
 
 @query("SELECT l_orderkey, l_partkey, count(*)::BIGINT AS n FROM lineitem GROUP BY ALL")
 def mention_counts(spark, d):
-    return table(spark, d, "lineitem").where("l_orderkey is not null and l_partkey is not null").groupBy("l_orderkey", "l_partkey").agg(F.count("*").alias("n"))
+    return crossref.pair_counts(table(spark, d, "lineitem"), "l_orderkey", "l_partkey")
 
 
 @query("SELECT DISTINCT url FROM pages WHERE url IS NOT NULL")
 def distinct_urls(spark, d):
-    return table(spark, d, "pages").where("url is not null").select("url").distinct()
+    return crossref.distinct_keys(table(spark, d, "pages"), "url")
 
 
 @query(f"SELECT count(DATEADDED)::BIGINT AS n_dated, (count(*) FILTER (WHERE DATEADDED < {_SINCE}))::BIGINT AS n_too_old FROM {_ORDERS}")
@@ -559,40 +583,47 @@ def url_host(spark, d):
 @query("SELECT count(*)::BIGINT AS n, (count(*) FILTER (WHERE c_nationkey = s_nationkey))::BIGINT AS n_same FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey")
 def match_rate(spark, d):
     j = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.expr("l_orderkey = o_orderkey")).join(table(spark, d, "customer"), F.expr("o_custkey = c_custkey")).join(table(spark, d, "supplier"), F.expr("l_suppkey = s_suppkey"))
-    return j.agg(F.count("*").alias("n"), F.count_if(F.expr("c_nationkey = s_nationkey")).alias("n_same"))
+    return measures.equal_rate(j, "c_nationkey", "s_nationkey")
 
 
 @query("SELECT l_returnflag, count(*)::BIGINT AS n, (count(*) FILTER (WHERE l_discount = l_tax))::BIGINT AS n_same, (count(*) FILTER (WHERE l_discount > 0 AND l_tax > 0))::BIGINT AS n_both FROM lineitem GROUP BY l_returnflag")
 def overlap_rate(spark, d):
-    return table(spark, d, "lineitem").groupBy("l_returnflag").agg(F.count("*").alias("n"), F.count_if(F.expr("l_discount = l_tax")).alias("n_same"), F.count_if(F.expr("l_discount > 0 and l_tax > 0")).alias("n_both"))
+    return measures.overlap_rate(table(spark, d, "lineitem"), "l_discount", "l_tax", F.expr("l_discount > 0 and l_tax > 0"), ["l_returnflag"])
+
+
+_CODED = "(SELECT *, CASE WHEN l_linenumber = 3 THEN l_linestatus || l_returnflag WHEN l_linenumber = 4 THEN l_returnflag ELSE l_returnflag || l_linestatus END AS code, CASE WHEN l_linenumber <> 4 THEN l_linestatus END AS second FROM lineitem)"
 
 
-@query("SELECT count(*)::BIGINT AS n, (count(*) FILTER (WHERE p_name = coalesce(p_brand, '') || coalesce(p_type, '')))::BIGINT AS n_whole, (count(*) FILTER (WHERE p_brand = substr(p_brand, 1, 5) || coalesce(substr(p_brand, 6), '')))::BIGINT AS n_parts FROM part")
+@query(f"SELECT count(*)::BIGINT AS n, (count(*) FILTER (WHERE code = l_returnflag || coalesce(second, '')))::BIGINT AS n_whole FROM {_CODED}")
 def concat_check(spark, d):
-    whole, parts = F.concat(F.coalesce("p_brand", F.lit("")), F.coalesce("p_type", F.lit(""))), F.concat(F.substring("p_brand", 1, 5), F.coalesce(F.expr("substring(p_brand, 6)"), F.lit("")))
-    return table(spark, d, "part").agg(F.count("*").alias("n"), F.count_if(F.col("p_name") == whole).alias("n_whole"), F.count_if(F.col("p_brand") == parts).alias("n_parts"))
+    """Codes of two parts: those of every third line are the wrong way round, those of every fourth lack the second part."""
+    rows = table(spark, d, "lineitem").withColumns({
+        "code": F.expr("case when l_linenumber = 3 then l_linestatus || l_returnflag when l_linenumber = 4 then l_returnflag else l_returnflag || l_linestatus end"),
+        "second": F.expr("case when l_linenumber <> 4 then l_linestatus end"),
+    })
+    return measures.concat_matches(rows, "code", ["l_returnflag", "second"])
 
 
 @query("SELECT count(*)::BIGINT AS n_docs, (count(*) FILTER (WHERE n > 1))::BIGINT AS n_several, max(n)::BIGINT AS most FROM (SELECT l_partkey, count(DISTINCT l_orderkey) AS n FROM lineitem GROUP BY 1)")
 def xref_fanin(spark, d):
-    per = table(spark, d, "lineitem").groupBy("l_partkey").agg(F.count_distinct("l_orderkey").alias("n"))
-    return per.agg(F.count("*").alias("n_docs"), F.count_if(F.col("n") > 1).alias("n_several"), F.max("n").alias("most"))
+    return measures.spread(crossref.fan_out(table(spark, d, "lineitem"), "l_partkey", "l_orderkey"), "n_docs")
 
 
-@query("SELECT count(*)::BIGINT AS n_events, (count(*) FILTER (WHERE n > 1))::BIGINT AS n_several, max(n)::BIGINT AS most FROM (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1)")
+@query("SELECT count(*)::BIGINT AS n_events, (count(*) FILTER (WHERE n > 1))::BIGINT AS n_several, max(n)::BIGINT AS most FROM (SELECT l_orderkey, count(DISTINCT l_partkey) AS n FROM lineitem GROUP BY 1)")
 def xref_fanout(spark, d):
-    per = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"))
-    return per.agg(F.count("*").alias("n_events"), F.count_if(F.col("n") > 1).alias("n_several"), F.max("n").alias("most"))
+    return measures.spread(crossref.fan_out(table(spark, d, "lineitem"), "l_orderkey", "l_partkey"), "n_events")
 
 
 @query("SELECT l_orderkey, l_partkey, count(*)::BIGINT AS n, min(l_quantity) <> max(l_quantity) AS differ FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def dup_pairs(spark, d):
-    return table(spark, d, "lineitem").groupBy("l_orderkey", "l_partkey").agg(F.count("*").alias("n"), (F.min("l_quantity") != F.max("l_quantity")).alias("differ")).where("n > 1")
+    return measures.repeated(table(spark, d, "lineitem"), ["l_orderkey", "l_partkey"], "l_quantity")
 
 
-@query("SELECT url, count(*)::BIGINT AS n FROM pages GROUP BY url HAVING count(*) > 1")
+@query("SELECT md5(text) AS key, count(*)::BIGINT AS n, min(source) <> max(source) AS differ FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
 def dup_docs(spark, d):
-    return table(spark, d, "pages").groupBy("url").agg(F.count("*").alias("n")).where("n > 1")
+    """Texts of several records, and whether their sources differ."""
+    keyed = table(spark, d, "documents").where("text is not null").select(F.md5("text").alias("key"), "source")
+    return measures.repeated(keyed, ["key"], "source")
 
 
 @query("SELECT o_orderkey, count(*)::BIGINT AS n_rows, count(DISTINCT p_brand)::BIGINT AS n_brands, min(l_quantity) AS least FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey GROUP BY 1")
@@ -621,10 +652,11 @@ def codes_search(spark, d):
     return given(spark, codes.list_codes("EventCode", "19"), "code string, name string")
 
 
-_ASKED = [("Actor1CountryCode", "usa"), ("Actor1CountryCode", "XX"), ("ActionGeo_CountryCode", "USA"), ("EventCode", "190"), ("EventCode", "999")]
+_ACTORS = values([(c,) for c in codes.FAMILIES["actor_country"]], "k", "code")
 
 
-@query(f"SELECT col, val FROM {values(_ASKED, 'a', 'col, val')} WHERE val IN ('XX', '999') OR (col = 'ActionGeo_CountryCode' AND val = 'USA')")
+@query(f"SELECT upper(left(n_name, 3)) AS code, count(*)::BIGINT AS n FROM nation WHERE upper(left(n_name, 3)) NOT IN (SELECT code FROM {_ACTORS}) GROUP BY 1")
 def codes_unrecognized(spark, d):
-    found = [x for c, v in _ASKED for x in predicate.unrecognized_codes({c: v})]
-    return given(spark, found, "col string, val string")
+    """The first letters of nations' names, taken for their codes."""
+    named = table(spark, d, "nation").select(F.lower(F.substring("n_name", 1, 3)).alias("Actor1CountryCode"))
+    return codes.unrecognized_values(named, "Actor1CountryCode").select(F.upper("Actor1CountryCode").alias("code"), "n")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -19,41 +20,60 @@ ZIP_BATCH = 5_000
 CODECS = ("snappy", "gzip", "zstd", "lz4", "uncompressed")
 
 
-def unzip_lines(files: DataFrame) -> DataFrame:
+def unzip_lines(files: DataFrame, errors: bool = False) -> DataFrame:
     """(_src_file, _src_row, value): lines of the members of zip files (path, content), read as a stream.
 
-    One task holds one compressed file; its text goes by in batches.  A file that is no zip fails the job.
+    One task holds one compressed file; its text goes by in batches.  A file that is no zip, or a
+    broken one, fails the job; with `errors` it gives no line but one row that says why in
+    a column `_error`, null in other rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for path, content in zip(b.column("path").to_pylist(), b.column("content")):
-                with zipfile.ZipFile(io.BytesIO(content.as_py())) as z:
-                    row = 0
-                    for member in sorted(z.namelist()):
-                        if member.endswith("/"):
-                            continue
-                        with z.open(member) as f:
-                            lines: list[str] = []
-                            for line in io.TextIOWrapper(f, "utf-8", errors="replace", newline="\n"):
-                                lines.append(line.rstrip("\r\n"))
-                                if len(lines) >= ZIP_BATCH:
-                                    yield _lines(path, row, lines)
-                                    row, lines = row + len(lines), []
-                            if lines:
-                                yield _lines(path, row, lines)
-                                row += len(lines)
-
-    return files.select("path", "content").mapInArrow(run, "_src_file string, _src_row long, value string")
-
-
-def _lines(path: str, row: int, lines: list[str]) -> pa.RecordBatch:
+                if errors and (why := _broken(content.as_py())):
+                    yield _lines(path, 0, [None]).append_column("_error", pa.array([why]))
+                    continue
+                for batch in members(path, content):
+                    yield batch.append_column("_error", pa.nulls(batch.num_rows, pa.string())) if errors else batch
+
+    def members(path: str, content: pa.Scalar) -> Iterator[pa.RecordBatch]:
+        with zipfile.ZipFile(io.BytesIO(content.as_py())) as z:
+            row = 0
+            for member in sorted(z.namelist()):
+                if member.endswith("/"):
+                    continue
+                with z.open(member) as f:
+                    lines: list[str] = []
+                    for line in io.TextIOWrapper(f, "utf-8", errors="replace", newline="\n"):
+                        lines.append(line.rstrip("\r\n"))
+                        if len(lines) >= ZIP_BATCH:
+                            yield _lines(path, row, lines)
+                            row, lines = row + len(lines), []
+                    if lines:
+                        yield _lines(path, row, lines)
+                        row += len(lines)
+
+    return files.select("path", "content").mapInArrow(run, "_src_file string, _src_row long, value string" + (", _error string" if errors else ""))
+
+
+def _broken(content: bytes) -> str | None:
+    """Why an archive can't be read whole, if so; all its checksums are tried, so that no part of a broken file is taken."""
+    try:
+        with zipfile.ZipFile(io.BytesIO(content)) as z:
+            bad = z.testzip()
+        return f"checksum of {bad} differs" if bad else None
+    except (zipfile.BadZipFile, zlib.error, EOFError, OSError, RuntimeError, NotImplementedError) as e:
+        return str(e) or type(e).__name__
+
+
+def _lines(path: str, row: int, lines: list[str | None]) -> pa.RecordBatch:
     n = len(lines)
     return pa.RecordBatch.from_arrays([pa.array([path] * n, pa.string()), pa.array(range(row, row + n), pa.int64()), pa.array(lines, pa.string())], names=["_src_file", "_src_row", "value"])
 
 
-def read_zips(spark: SparkSession, *paths: str) -> DataFrame:
-    return unzip_lines(spark.read.format("binaryFile").load(list(paths)).select("path", "content"))
+def read_zips(spark: SparkSession, *paths: str, errors: bool = False) -> DataFrame:
+    return unzip_lines(spark.read.format("binaryFile").load(list(paths)).select("path", "content"), errors)
 
 
 def parse_tsv(lines: DataFrame, dataset: str | DatasetSpec, keep: list[str] | None = None, line_col: str = "value") -> DataFrame:
@@ -97,10 +117,21 @@ def read_parquet_dir(spark: SparkSession, *paths: str, schema: T.StructType | No
 
 
 def read_drifting(spark: SparkSession, paths: list[str], target: T.StructType) -> DataFrame:
-    """Files that disagree on a column's type: each group of equal schema is read on its own and cast to the target."""
-    groups: dict[str, list[str]] = {}
-    for p in paths:
-        groups.setdefault(spark.read.parquet(p).schema.json(), []).append(p)
+    """Files that disagree on a column's type: each group of equal schema is read on its own and cast to the target.
+
+    Schemas are read from the files' footers by tasks; a schema and a list of paths for each come back.
+    """
+
+    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.parquet as pq
+
+        for b in batches:
+            kinds = [str(pq.read_schema(pa.BufferReader(c.as_py())).remove_metadata()) for c in b.column("content")]
+            yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(kinds)], names=["path", "kind"])
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(paths)
+    found = files.select("path", "content").mapInArrow(footers, "path string, kind string").groupBy("kind").agg(F.collect_list("path").alias("paths"))
+    groups = {r.kind: r.paths for r in found.orderBy("kind").collect()}
     out = None
     for members in groups.values():
         df = spark.read.parquet(*members)
@@ -117,13 +148,17 @@ def write_flat(df: DataFrame, path: str, compression: str = "zstd", mode: str =
     df.write.mode(mode).option("compression", compression).parquet(path)
 
 
-def write_hive(df: DataFrame, path: str, by: list[str], compression: str = "zstd", mode: str = "overwrite") -> None:
-    """A folder for each key; rows with a null key go.  Keys are whole numbers and stay in the files' names only."""
+def write_hive(df: DataFrame, path: str, by: list[str], compression: str = "zstd", mode: str = "overwrite", before: list[str] | None = None) -> None:
+    """A folder for each key; rows with a null key go.  Keys are whole numbers, stand in the folders' names and are columns again when read.
+
+    `before`: columns whose folders come first; these may be null.
+    """
     _check_codec(compression)
-    keyed = df.na.drop(subset=by)
+    keyed = df.na.drop(subset=by) if by else df
     for c in by:
         keyed = keyed.withColumn(c, F.col(f"`{c}`").cast("bigint"))
-    keyed.repartition(*by).write.mode(mode).option("compression", compression).partitionBy(*by).parquet(path)
+    keyed = keyed.repartition(*(before or []), *by) if by else keyed
+    keyed.write.mode(mode).option("compression", compression).partitionBy(*(before or []), *by).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import logging
 import os
+import re
 import shutil
 import time
+import urllib.parse
+import urllib.request
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -16,6 +20,8 @@ from pyspark.sql import functions as F
 from .periods import PARSERS, select_files, sort_files
 from .specs import spec
 
+log = logging.getLogger(__name__)
+
 #: More files than this deserve a warning before they are fetched.
 LARGE_FETCH = 5_000
 
@@ -38,6 +44,59 @@ class RemoteFile:
     size: int | None = None
 
 
+def wanted(url: str, dataset: str) -> bool:
+    """Does a URL's file name belong to the dataset?"""
+    return re.search(FILE_PATTERNS[spec(dataset).name], url.rsplit("/", 1)[-1]) is not None
+
+
+def parse_html(page: str, base_url: str, dataset: str) -> list[RemoteFile]:
+    """As `html_links`, of a page on the driver: one index page lists all files."""
+    out = []
+    for line in page.splitlines():
+        if m := re.search(r"""(?i)href=["']?([^"' >]+)""", line):
+            url = re.sub("(?i)^https://", "http://", urllib.parse.urljoin(base_url, m[1]))
+            if wanted(url, dataset):
+                md5 = re.search(r"(?i)MD5:?\s*([0-9a-f]{32})", line)
+                out.append(RemoteFile(url, md5[1].lower() if md5 else None))
+    return out
+
+
+def parse_master(text: str, dataset: str) -> list[RemoteFile]:
+    """As `master_list`, of a list on the driver."""
+    parts = (line.split() for line in text.splitlines())
+    return [RemoteFile(p[2], p[1].lower(), int(p[0]) if p[0].isdecimal() else None) for p in parts if len(p) == 3 and wanted(p[2], dataset)]
+
+
+def get_text(url: str, timeout_s: float = 30.0) -> str:
+    """The text at a URL (http, https, file) or path."""
+    if "://" not in url:
+        with open(url, encoding="utf-8") as f:
+            return f.read()
+    with urllib.request.urlopen(url, timeout=timeout_s) as r:  # noqa: S310  the user names the place
+        return r.read().decode("utf-8", "replace")
+
+
+def list_remote(dataset: str, url: str, timeout_s: float = 30.0) -> list[RemoteFile]:
+    """A dataset's files from where they are listed: an HTML index for some datasets, a master list for the others.
+
+    A place whose name ends in .txt is read as a master list for any dataset.
+    """
+    text = get_text(url, timeout_s)
+    if dataset in HTML_LISTED and not url.endswith(".txt"):
+        return parse_html(text, url, dataset)
+    return parse_master(text, dataset)
+
+
+def warn_large(files: list[RemoteFile], dataset: str) -> str | None:
+    """A warning, logged and returned, before very many files are fetched."""
+    if len(files) <= LARGE_FETCH:
+        return None
+    known = sum(f.size or 0 for f in files)
+    message = f"{len(files)} files of {dataset} are to be fetched" + (f", {known / 1e9:.1f} GB" if known else "") + "; narrow the window if that isn't meant"
+    log.warning(message)
+    return message
+
+
 def file_name(url: Column) -> Column:
     return F.regexp_extract(url, "([^/]+)$", 1)
 
@@ -90,10 +149,22 @@ def copy_local(url: str, target: str) -> None:
     shutil.copyfile(url.removeprefix("file://"), target)
 
 
-def fetch_one(f: RemoteFile, folder: str, transport: Transport, retries: int = 3, wait_s: float = 0.0) -> str:
-    """success, skipped or failed; the file appears whole or not at all."""
+def http_transport(timeout_s: float = 30.0) -> Transport:
+    """Transport for http and https, in pieces, so no file is held in memory; other places are copied."""
+
+    def fetch(url: str, target: str) -> None:
+        if not re.match("(?i)https?://", url):
+            return copy_local(url, target)
+        with urllib.request.urlopen(url, timeout=timeout_s) as r, open(target, "wb") as f:  # noqa: S310  the list names the place
+            shutil.copyfileobj(r, f, 1 << 16)
+
+    return fetch
+
+
+def fetch_one(f: RemoteFile, folder: str, transport: Transport, retries: int = 3, wait_s: float = 0.0, force: bool = False) -> str:
+    """success, skipped or failed; the file appears whole or not at all.  A file that is there is skipped, unless forced."""
     target = os.path.join(folder, os.path.basename(f.url))
-    if os.path.exists(target):
+    if os.path.exists(target) and not force:
         return "skipped"
     part = target + ".part"
     for attempt in range(retries):
@@ -113,23 +184,25 @@ def fetch_one(f: RemoteFile, folder: str, transport: Transport, retries: int = 3
     return "failed"
 
 
-def fetch_all(files: Iterable[RemoteFile], folder: str, transport: Transport = copy_local, workers: int = 8, retries: int = 3) -> dict[str, list[str]]:
+def fetch_all(files: Iterable[RemoteFile], folder: str, transport: Transport = copy_local, workers: int = 8, retries: int = 3, wait_s: float = 0.0, force: bool = False) -> dict[str, list[str]]:
     """Fetch with a bounded pool of threads; returns the URLs by outcome."""
     files = list(files)
     os.makedirs(folder, exist_ok=True)
     out: dict[str, list[str]] = {"success": [], "skipped": [], "failed": []}
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        for f, how in zip(files, pool.map(lambda f: fetch_one(f, folder, transport, retries), files)):
+        for f, how in zip(files, pool.map(lambda f: fetch_one(f, folder, transport, retries, wait_s, force), files)):
             out[how].append(f.url)
     return out
 
 
-def scrape(listed: Iterable[RemoteFile], folder: str, dataset: str, start_date: str | None = None, end_date: str | None = None, order: str = "asc", dry_run: bool = False, transport: Transport = copy_local, workers: int = 8) -> dict[str, list[str]]:
-    """Window, sort and fetch a list; a dry run says what would be fetched or skipped."""
+def scrape(listed: Iterable[RemoteFile], folder: str, dataset: str, start_date: str | None = None, end_date: str | None = None, order: str = "asc", dry_run: bool = False, transport: Transport = copy_local, workers: int = 8, retries: int = 3, wait_s: float = 0.0, force: bool = False) -> dict[str, list[str]]:
+    """Window, sort and fetch the dataset's files of a list; a dry run says what would be fetched or skipped."""
     parser = PARSERS[spec(dataset).period]
-    by_url = {f.url: f for f in listed}
+    by_url = {f.url: f for f in listed if wanted(f.url, dataset)}
     urls = sort_files(select_files(by_url, start_date, end_date, parser, keep_undated=False), order, parser)
     if dry_run:
-        have = {u for u in urls if os.path.exists(os.path.join(folder, os.path.basename(u)))}
+        have = {u for u in urls if not force and os.path.exists(os.path.join(folder, os.path.basename(u)))}
         return {"success": [u for u in urls if u not in have], "skipped": [u for u in urls if u in have], "failed": []}
-    return fetch_all([by_url[u] for u in urls], folder, transport, workers)
+    files = [by_url[u] for u in urls]
+    warn_large(files, dataset)
+    return fetch_all(files, folder, transport, workers, retries, wait_s, force)

@@ -57,6 +57,14 @@ def file_type(name: Column) -> Column:
     )
 
 
+_KINDS = {14: "quarter_hourly", 8: "daily", 6: "monthly", 4: "yearly"}
+
+
+def file_kind(name: str) -> str:
+    """As `file_type`, of a name on the driver."""
+    return _KINDS.get(len(m[0]), "unknown") if (m := re.match("[0-9]+(?=[.])", os.path.basename(name))) else "unknown"
+
+
 def overlaps(start: Column, end: Column, lo: str | None, hi: str | None, keep_undated: bool) -> Column:
     """Does a period touch the window lo..hi (ISO days, either open)?"""
     if lo is None and hi is None:

@@ -10,6 +10,7 @@ from eventloom.cli import build_parser, main
 from eventloom.operators import clean, codes
 from eventloom.plans import config, stages
 from eventloom.plans.manifest import fingerprint
+from eventloom.plans.store import Store
 from eventloom.sources import ingest, listing, periods
 from eventloom.sources.specs import DATASETS, spec
 from eventloom.streaming.incremental import convert_stream
@@ -35,10 +36,10 @@ def test_specs():
 
 def test_header_and_packed_ids(spark, tmp_path):
     head = "DATE\tNUMARTS\tCOUNTS\tTHEMES\tLOCATIONS\tPERSONS\tORGANIZATIONS\tTONE\tCAMEOEVENTIDS\tSOURCES\tSOURCEURLS"
-    f = zipped(tmp_path / "20130401.gkg.csv.zip", head + "\n20130401\t3\t\tT1;T2\t\t\t\t1.5\t123456,789012\ts\tu\n")
+    f = zipped(tmp_path / "20140228.gkg.csv.zip", head + "\n20140228\t7\t\tWATER;ROADS\t\t\t\t-0.25\t88,1213,5\tpaper\tweb\n")
     lines = ingest.read_zips(spark, f)
     row = ingest.parse_tsv(lines, "gkg_v1").collect()
-    assert len(row) == 1 and row[0].EventIds == "123456,789012" and row[0].Date == 20130401 and row[0].Counts is None
+    assert len(row) == 1 and row[0].EventIds == "88,1213,5" and row[0].Date == 20140228 and row[0].Counts is None
 
 
 def test_rows_of_odd_length(spark):
@@ -59,13 +60,84 @@ def test_convert_filter_resume(spark, tmp_path):
     assert [os.path.basename(p) for p in first.processed] == ["20200101.export.CSV.zip"]
     second = stages.convert(spark, str(raw), out, "events")
     assert len(second.processed) == 1 and len(second.skipped) == 1
-    assert spark.read.parquet(f"{out}/table").count() == 6
+    assert Store(spark, out, "events").read().count() == 6
     assert stages.convert(spark, str(raw), out, "events").processed == []
-    got = stages.filter_files(spark, f"{out}/table", kept, "events", ["GlobalEventID", "absent"], ["Day", "GlobalEventID", "nope"])
+    got = stages.filter_files(spark, out, kept, "events", ["GlobalEventID", "absent"], ["Day", "GlobalEventID", "nope"])
     assert (got.rows_before, got.rows_after) == (6, 6)
-    assert spark.read.parquet(f"{kept}/table").columns == ["Day", "GlobalEventID", "_src_file", "_src_row"]
-    none = stages.filter_files(spark, f"{out}/table", str(tmp_path / "x"), "events", ["absent"])
+    assert Store(spark, kept, "events").read().columns == ["Day", "GlobalEventID", "_src_file", "_src_row"]
+    assert stages.filter_files(spark, out, kept, "events", ["GlobalEventID", "absent"], ["Day", "GlobalEventID", "nope"]).processed == []
+    none = stages.filter_files(spark, out, str(tmp_path / "x"), "events", ["absent"])
     assert none.processed == [] and none.skipped and not os.path.exists(tmp_path / "x" / "table")
+    # the same again by force, and a run that broke off before the manifest named it: no row is seen twice
+    assert len(stages.convert(spark, str(raw), out, "events", force=True).processed) == 2
+    assert Store(spark, out, "events").read().count() == 6
+    Store(spark, out, "events").write(spark.createDataFrame([(1, f"{raw}/20200101.export.CSV.zip", 0)], "GlobalEventID bigint, _src_file string, _src_row bigint"), "unnamed")
+    assert Store(spark, out, "events").read().count() == 6
+    again = stages.filter_files(spark, out, kept, "events", ["GlobalEventID", "absent"], ["Day", "GlobalEventID", "nope"])
+    assert len(again.processed) == 2 and Store(spark, kept, "events").read().count() == 6
+    assert Store(spark, out, "events").read("2020-01-02", None).select("Day").distinct().collect()[0][0] == 20200102
+
+
+def test_windows_open_no_other_files(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "conv")
+    raw.mkdir()
+    for day in range(20200101, 20200111):
+        zipped(raw / f"{day}.export.CSV.zip", event_line(day, day))
+    stages.convert(spark, str(raw), out, "events")
+    df = Store(spark, out, "events").read("2020-01-03", "2020-01-04")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.Day for r in df.collect()) == [20200103, 20200104]
+    assert "part_last" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_broken_archives_stay_pending(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "conv")
+    raw.mkdir()
+    zipped(raw / "20200101.export.CSV.zip", event_line(1))
+    (raw / "20200102.export.CSV.zip").write_bytes(b"no archive")
+    whole = open(zipped(raw / "20200103.export.CSV.zip", "\n".join(event_line(i) for i in range(2000))), "rb").read()
+    (raw / "20200103.export.CSV.zip").write_bytes(whole[:200] + b"\0\0\0" + whole[203:])
+    got = stages.convert(spark, str(raw), out, "events", delete_source=True)
+    assert got.processed == ["20200101.export.CSV.zip"] and got.failed == ["20200102.export.CSV.zip", "20200103.export.CSV.zip"]
+    assert Store(spark, out, "events").read().count() == 1 and len(list(raw.iterdir())) == 2
+    (raw / "20200103.export.CSV.zip").write_bytes(whole)
+    assert stages.convert(spark, str(raw), out, "events").processed == ["20200103.export.CSV.zip"]
+    assert Store(spark, out, "events").read().count() == 2001
+
+
+def test_historical_part(spark, tmp_path):
+    raw, out, kept = tmp_path / "raw", str(tmp_path / "conv"), str(tmp_path / "filt")
+    raw.mkdir()
+    zipped(raw / "2004.zip", "\n".join(event_line(m, 20040000 + 100 * m + 5, 2004) for m in range(1, 13)) + "\n77\t\t\t\n")
+    zipped(raw / "200602.zip", event_line(50, 20060203, 2006))
+    zipped(raw / "20200101.export.CSV.zip", event_line(60))
+    rules = {"yearly": ["Year", "MonthYear"], "monthly": ["Year", "MonthYear"]}
+    assert len(stages.convert(spark, str(raw), out, "events", hive_by=rules).processed) == 3
+    assert len(list((tmp_path / "conv" / "historical").rglob("Year=2004/MonthYear=200407"))) == 1
+    df = Store(spark, out, "events").read()
+    assert df.count() == 14 and dict(df.dtypes)["Year"] in ("int", "bigint")  # the row without a key is gone
+    assert Store(spark, out, "events").read("2006-02-11", "2006-03-01").count() == 1
+    done = stages.filter_files(spark, out, kept, "events", ["GlobalEventID"], ["GlobalEventID", "Day"], hive_by=rules)
+    assert len(done.processed) == 3 and done.rows_after == 14 and Store(spark, kept, "events").read().count() == 14
+
+
+def test_sources_go_last(spark, tmp_path):
+    raw, out, kept = tmp_path / "raw", str(tmp_path / "conv"), str(tmp_path / "filt")
+    raw.mkdir()
+    for day in (20200101, 20200102):
+        zipped(raw / f"{day}.export.CSV.zip", event_line(day, day))
+    stages.convert(spark, str(raw), out, "events", delete_source=True)
+    assert list(raw.iterdir()) == []
+    stages.filter_files(spark, out, kept, "events", ["GlobalEventID"], end_date="2020-01-01", delete_source=True)
+    assert Store(spark, out, "events").read().count() == 2  # half of the run is still to do
+    stages.filter_files(spark, out, kept, "events", ["GlobalEventID"], delete_source=True)
+    assert list((tmp_path / "conv" / "table").iterdir()) == [] and Store(spark, kept, "events").read().count() == 2
+
+
+def test_narrowing_warnings():
+    warn = stages.warn_narrowing("filter", "gkg_v2", ["V1THEMES"], True, ["keep"])
+    assert len(warn) == 2 and "V2DOCUMENTIDENTIFIER" in warn[0] and "keep" in warn[1]
+    assert stages.warn_narrowing("convert", "events", None, True, []) == [] == stages.warn_narrowing("convert", "events", ["GlobalEventID"], False, ["columns"])
 
 
 def test_hive(spark, tmp_path):
@@ -131,6 +203,83 @@ def test_fetch(tmp_path):
     assert not list((tmp_path / "other").iterdir())
 
 
+def test_scrape_takes_one_dataset(tmp_path):
+    files = []
+    for name in ("20200101000000.export.CSV.zip", "20200101000000.mentions.CSV.zip", "20200101001500.mentions.CSV.zip", "20200101000000.gkg.csv.zip"):
+        (tmp_path / name).write_bytes(name.encode())
+        files.append(listing.RemoteFile(str(tmp_path / name), hashlib.md5(name.encode()).hexdigest()))
+    names = lambda got: sorted(os.path.basename(u) for u in got)
+    assert names(listing.scrape(files, str(tmp_path / "m"), "mentions")["success"]) == names(f.url for f in files[1:3])
+    assert names(listing.scrape(files, str(tmp_path / "g"), "gkg_v2", "2020-01-01", "2020-01-02")["success"]) == names([files[3].url])
+    assert listing.scrape(files, str(tmp_path / "g"), "gkg_v2")["skipped"] and listing.scrape(files, str(tmp_path / "g"), "gkg_v2", force=True)["success"]
+    assert listing.scrape(files, str(tmp_path / "g"), "gkg_v2", force=True, dry_run=True)["success"]
+
+
+def test_lists(tmp_path):
+    page = """<a href="20200101.export.CSV.zip">x</a> (MD5: 0123456789ABCDEF0123456789abcdef)
+        <A HREF='https://else.org/d/201302.zip'>y</A>
+        <a href="2004.zip">z</a> <a href="20140101.gkg.csv.zip">g</a>
+        <a href="20140101.gkgcounts.csv.zip">c</a> <a href="about.html">about</a> no link"""
+    got = listing.parse_html(page, "http://x.org/events/index.html", "events")
+    assert [(f.url, f.md5) for f in got] == [("http://x.org/events/20200101.export.CSV.zip", "0123456789abcdef" * 2), ("http://else.org/d/201302.zip", None), ("http://x.org/events/2004.zip", None)]
+    assert len(listing.parse_html(page, "http://x.org/", "gkg_v1_counts")) == 1
+    text = "12 ABC http://h/20200101000000.gkg.csv.zip\nbad line\nmany def http://h/20200101001500.gkg.csv.zip\n3 a http://h/20200101000000.mentions.CSV.zip\n"
+    assert [(f.md5, f.size) for f in listing.parse_master(text, "gkg_v2")] == [("abc", 12), ("def", None)]
+    assert listing.warn_large([listing.RemoteFile("u", None, 10**6)] * 6000, "mentions") and listing.warn_large([], "mentions") is None
+
+
+@pytest.fixture
+def server(tmp_path):
+    import functools
+    import http.server
+    import threading
+
+    root = tmp_path / "www"
+    root.mkdir()
+    handler = functools.partial(http.server.SimpleHTTPRequestHandler, directory=str(root))
+    with http.server.ThreadingHTTPServer(("127.0.0.1", 0), handler) as s:
+        threading.Thread(target=s.serve_forever, daemon=True).start()
+        yield root, f"http://127.0.0.1:{s.server_port}"
+        s.shutdown()
+
+
+def test_scrape_command_over_http(tmp_path, server, monkeypatch):
+    root, base = server
+    monkeypatch.chdir(tmp_path)
+    (tmp_path / config.DEFAULT_PATH).write_text(json.dumps({"root": str(tmp_path / "data"), "retry_wait_s": 0, "lists": {"mentions": f"{base}/master.txt"}}))
+    zipped(root / "20200101.export.CSV.zip", event_line(1))
+    (root / "index.html").write_text('<a href="20200101.export.CSV.zip">a</a>\n<a href="20200102.export.CSV.zip">gone</a>')
+    assert main(["scrape", "--list", f"{base}/index.html", "--end-date", "2020-01-01", "-q"]) == 0
+    assert (tmp_path / "data/raw/20200101.export.CSV.zip").read_bytes() == (root / "20200101.export.CSV.zip").read_bytes()
+    assert main(["scrape", "--list", f"{base}/index.html"]) == 1  # one file isn't there
+    (root / "20200101000000.mentions.CSV.zip").write_bytes(b"m")
+    (root / "master.txt").write_text(f"1 {hashlib.md5(b'm').hexdigest()} {base}/20200101000000.mentions.CSV.zip\n1 x {base}/20200101000000.gkg.csv.zip\n")
+    assert main(["scrape", "--dataset", "mentions", "--verbose"]) == 0
+    assert [p.name for p in (tmp_path / "data/mentions_raw").iterdir()] == ["20200101000000.mentions.CSV.zip"]
+    (tmp_path / "data/mentions_raw/20200101000000.mentions.CSV.zip").write_bytes(b"old")
+    assert main(["scrape", "--dataset", "mentions"]) == 0 == main(["scrape", "--dataset", "mentions", "--force"])
+    assert (tmp_path / "data/mentions_raw/20200101000000.mentions.CSV.zip").read_bytes() == b"m"
+    assert main(["scrape", "--dataset", "gkg_v2"]) == 1  # no list is known
+
+
+def test_code_lists(tmp_path):
+    assert codes.geo_country_codes()["KS"] == "Korea, South" and codes.geo_country_codes()["KN"] == "Korea, North" and codes.religion_codes()["MOS"] == "Islam"
+    assert codes.event_codes()["1214"] == "Reject intelligence cooperation" and "CEMAC" in codes.known_group_codes()["CEM"] and codes.event_codes()["01"] == "MAKE PUBLIC STATEMENT"
+    assert {len(c) for c in codes.actor_country_codes()} == {3} and {len(c) for c in codes.geo_country_codes()} == {2} and {len(c) for c in codes.event_codes()} == {2, 3, 4}
+    assert all(c[:2] in codes.event_codes() and (len(c) < 4 or c[:3] in codes.event_codes()) for c in codes.event_codes())
+    assert codes.codes_for_column("EventRootCode") == codes.event_codes() and codes.codes_for_column("Day") is None
+    assert codes.is_recognized("Actor1EthnicCode", "QQQ") is None
+    (tmp_path / "CAMEO.ethnic.txt").write_text("CODE\tLABEL\nQQA\tQuaqua\nKUR\tother name\n")
+    before, whole = dict(codes.FAMILIES["ethnic"]), set(codes.WHOLE)
+    try:
+        assert codes.load_folder(str(tmp_path)) == {"ethnic": 2}
+        assert codes.is_recognized("Actor2EthnicCode", "qqa") is True and codes.is_recognized("Actor1EthnicCode", "QQQ") is False and codes.ethnic_codes()["KUR"] == "Kurd"
+    finally:
+        codes.FAMILIES["ethnic"] = before
+        codes.WHOLE.clear()
+        codes.WHOLE.update(whole)
+
+
 def test_codes():
     assert codes.is_recognized("Actor1CountryCode", "usa") is True and codes.is_recognized("ActionGeo_CountryCode", "USA") is False
     assert codes.is_recognized("QuadClass", "1") is None and codes.family_of("EventCode") == "event"
@@ -175,6 +324,10 @@ def test_sample_and_crossref_commands(spark, tmp_path, capsys, monkeypatch):
     row = spark.read.parquet(joined).collect()
     assert [(r.GlobalEventID, r.GKG_GKGRECORDID, r.Mention_Count) for r in row] == [(202001010, "REC20200102", 1)]
     assert main(["sample", "--mode", "indexed", "-n", "99"]) == 1 and "99 rows" in capsys.readouterr().err
+    assert main(["sample", "--mode", "indexed", "-n", "3", "--start-date", "2020-01-02", "--columns", "Day", "--out", sample]) == 0
+    assert [tuple(r) for r in spark.read.parquet(sample).collect()] == [(20200102,)] * 3
+    assert main(["sample", "--mode", "daily", "--per-day", "2", "--columns", "GlobalEventID", "--out", sample]) == 0
+    assert spark.read.parquet(sample).columns == ["GlobalEventID", "Day"] and spark.read.parquet(sample).count() == 4
 
 
 def test_export(spark, tmp_path):
