@@ -3,7 +3,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from eventloom.operators.sampling import FileIndex, FilteredSampler, Rng, sample_daily, sample_rows, sample_stratified
+from eventloom.operators.sampling import FileIndex, FilteredSampler, Rng, file_offsets, locate, sample_daily, sample_rows, sample_stratified
 
 ID = ("GlobalEventID",)
 
@@ -80,3 +80,33 @@ def test_top_k_is_partial(hundred):
     plan = sample_stratified(hundred, "QuadClass", 2)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     assert "TakeOrderedAndProject" in sample_rows(hundred, 5)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_index_over_a_table(spark):
+    """Positions count the rows that there are, by file and place, whatever was dropped before."""
+    rows = [(f * 100 + r, f"f{f}", r) for f in range(5) for r in range(20) if (f + r) % 3]
+    df = spark.createDataFrame(rows, "GlobalEventID bigint, _src_file string, _src_row bigint").repartition(6)
+    index = FileIndex(spark, table=df)
+    assert index.total_rows == len(rows)
+    drawn = np.sort(Rng(9).choice(len(rows), 25))
+    assert [r.GlobalEventID for r in index.sample(25, 9).collect()] == [rows[g][0] for g in drawn]
+    with pytest.raises(ValueError):
+        index.sample(len(rows) + 1)
+
+
+def test_located_positions(spark):
+    counts = [("a", 5), ("b", 0), ("c", 2500), ("d", 1), ("e", 700)]
+    index = file_offsets(spark.createDataFrame(counts, "file string, n bigint"))
+    starts = np.cumsum([0, *(n for _, n in counts)])
+    want = sorted((g, counts[i][0], g - starts[i]) for g in range(0, 3206, 7) for i in [int(np.searchsorted(starts[1:], g, side="right"))])
+    for bucket in (10, 1 << 20):
+        got = locate(spark.createDataFrame([(g,) for g in range(0, 4000, 7)], "g bigint"), index, bucket)
+        assert sorted(map(tuple, got.collect())) == want
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_daily_columns(hundred):
+    wide = hundred.withColumns({"_src_file": hundred.QuadClass.cast("string"), "x": hundred.Day})
+    assert sample_daily(wide, 2, columns=["x"]).columns == ["Day", "x"] and sample_daily(wide, 2, scope="file", columns=["GlobalEventID"]).count() == 2 * 2 * 4
+    with pytest.raises(ValueError):
+        sample_daily(wide, 2, columns=["nope"])
