@@ -3,7 +3,9 @@
 The index is inverted, with the largest impact of each term in each block of items.
 A passage is scored against an item only if the sum of its terms' largest impacts
 reaches the threshold, first over all items, then over the item's block; so all items
-above the threshold are found, and few are scored.  A hit counts if it covers the
+above the threshold are found, and few are scored.  Blocks are ranges of items, alike for
+all terms, and the blocks that stay alive are found for all terms and passages at once, as
+vectors; that takes the place of WAND's pointers, which move term by term.  A hit counts if it covers the
 item's question and answer word for word; a short answer may have a word changed.
 """
 
@@ -235,7 +237,8 @@ _ARROW_LEAK = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64(
 def find_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
     """Add `leaks`, array<struct(item_id, score, question, answer)>, to every row of docs; empty for clean rows.
 
-    An input column of that name is replaced.  Null or empty texts leak nothing; items
+    An input column of that name is replaced, in whatever case.  Null or empty texts leak nothing; very
+    long ones are looked at passage by passage; repeated rows get equal results; items
     without words are never found; repeated items are found under each id; no items, no
     leaks.  Documents aren't shuffled.  The items go to every task as an index: their
     text is measured first, and beyond INDEX_CHARS characters (of all items, ids by hash)

@@ -134,8 +134,9 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """Add lang_pred, score (its share), languages and shares (of the chosen set) to every row.
 
-    Input columns of these names are replaced.  A null text, one without a letter, or a
-    model without languages gives "und", score 0 and an empty set.  Ties go to the first
+    Input columns of these names are replaced, in whatever case.  A null text, one without a letter, or a
+    model without languages gives "und", score 0 and an empty set.  A text's time and memory are
+    in proportion to its length; repeated rows get equal results; an empty table stays empty.  Ties go to the first
     name in order.  Nothing but the text is looked at.
     """
     need(docs, text_col)

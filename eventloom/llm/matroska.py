@@ -248,8 +248,9 @@ def padded(text: str | None) -> tuple[bytes, int]:
 def store_texts(docs: DataFrame, text_col: str = "text", drop_text: bool = False) -> DataFrame:
     """Add `media` (a Matroska file of the padded text's bytes as samples) and `n_bytes` to every row.
 
-    A null text counts as empty (64 zero bytes).  Input columns of these names are replaced.  Equal
-    texts give equal files; an empty table stays empty.
+    A null text counts as empty (64 zero bytes).  Input columns of these names are replaced, in whatever
+    case.  Equal texts give equal files; an empty table stays empty; a very long text is one file, made in
+    memory in the one task that holds it.
     """
     return _mapped(docs, text_col, drop_text, [("n_bytes", T.LongType(), pa.int64()), ("media", T.BinaryType(), pa.binary())], lambda t: (lambda p: (p[1], write_pcm(p[0])))(padded(t)))
 

@@ -193,8 +193,8 @@ def _encoder(path: str) -> tuple[PieceBpe, PieceCache]:
 def encode_decode(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
     """Add `ids` (array<int>, as the model's encoder without begin or end ids) and `decoded` (of these ids) to every row.
 
-    Input columns of these names are replaced.  A null or empty text has no ids and
-    decodes to "".  Rows are handled one by one: repeated rows get equal results, an
+    Input columns of these names are replaced, in whatever case.  A null or empty text has no ids and
+    decodes to "".  Time is linear in a text's length, however long it or its words are.  Rows are handled one by one: repeated rows get equal results, an
     empty table stays empty.  The model file must be at `model_path` on each executor.
     """
     need(docs, text_col)

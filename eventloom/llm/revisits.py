@@ -50,7 +50,8 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
 
     Every revisit row gives one row: repeated rows, shared ids and a null id are resolved row by row, by
     URL and time.  Of responses that share URL, ts and record_id one takes part, that of the greatest
-    validators and headers.  No rows, or no revisits, give an empty table.
+    validators and headers.  No rows, or no revisits, give an empty table.  Extra columns play no part,
+    whatever their names.
 
     Records are dealt by ranges of (URL, ts), so captures of one URL spread over as many
     tasks as they need.  Within a range a window finds the target; what a range begins

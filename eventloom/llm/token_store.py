@@ -239,7 +239,8 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str
     order of a hash of their texts; null ids come first.  An empty table gives no shards.
 
     Rows are dealt by ranges of the id, so each part holds consecutive documents; only
-    the texts move, once, and encoding comes after.
+    the texts move, once, and encoding comes after.  Other columns play no part, whatever their names.  A task
+    holds one shard's ids at a time, and a document longer than SHARD_IDS whole.
     """
     need(docs, id_col, text_col)
     small_arrow(docs.sparkSession)

@@ -22,7 +22,7 @@ from eventloom.llm.matroska import EBML_LACING, FIXED, XIPH, elements, lace, pac
 from eventloom.llm.near_dedup import estimate, near_duplicates, shingle_set, sketch
 from eventloom.llm.piece_bpe import PieceBpe, encode_decode, merge_loop
 from eventloom.llm.pieces import PieceCache
-from eventloom.llm.pseudonyms import pseudonymize
+from eventloom.llm.pseudonyms import KINDS, SHAPES, pseudonymize
 from eventloom.llm.revisits import canonical_url, resolve_revisits
 from eventloom.llm.substring_dedup import anchors, interior, recompress, remove_repeats, word_hashes
 from eventloom.llm.token_store import Shard, WordEncoder, read_tokens, write_shard, write_tokens
@@ -720,6 +720,120 @@ def test_mail_names_that_look_like_other_kinds(spark):
     assert {r.doc_id: r.text for r in pseudonymize(out.select("doc_id", "text"), "key", restore=True).collect()} == dict(enumerate(rows))
 
 
+class PlainPseudonyms:
+    """The same permutations one value at a time, in plain Python."""
+
+    def __init__(self, key):
+        self.key = key
+        shapes = {**SHAPES, "email": SHAPES["email"].replace("(?=@", "@(?=", 1)}
+        self.any = re.compile("|".join(f"(?P<{k}>{p})" for k, p in shapes.items()))
+
+    def keyed(self, *parts):
+        return int(hashlib.sha256("|".join([self.key, *map(str, parts)]).encode()).hexdigest()[:15], 16)
+
+    def feistel(self, kind, shape, l, r, a, b):
+        for i in range(10):
+            if i % 2 == 0:
+                l = (l + self.keyed(i, kind, shape, r) % a) % a
+            else:
+                r = (r + self.keyed(i, kind, shape, l) % b) % b
+        return l, r
+
+    def refill(self, template, digits):
+        it = iter(digits)
+        return "".join(next(it) if c.isdigit() else c for c in template)
+
+    def date(self, m):
+        import datetime as dt
+
+        try:
+            day = (dt.date.fromisoformat(m) - dt.date(1900, 1, 1)).days
+        except ValueError:
+            return None
+        l, r = self.feistel("date", "", day // 4297, day % 4297, 17, 4297)
+        return (dt.date(1900, 1, 1) + dt.timedelta(l * 4297 + r)).isoformat()
+
+    def ip(self, m):
+        o = list(map(int, m.split(".")))
+        l, r = self.feistel("ip", "", o[0] * 256 + o[1], o[2] * 256 + o[3], 65536, 65536)
+        return f"{l // 256}.{l % 256}.{r // 256}.{r % 256}"
+
+    def ssn(self, m):
+        x, y, z = map(int, m.split("-"))
+        l, r = self.feistel("ssn", "", x - 2 if x > 666 else x - 1, (y - 1) * 9999 + z - 1, 898, 99 * 9999)
+        return f"{l + 2 if l >= 665 else l + 1:03d}-{r // 9999 + 1:02d}-{r % 9999 + 1:04d}"
+
+    def phone(self, m):
+        d = re.sub("[^0-9]", "", m)
+        area, exch, line = int(d[:3]), int(d[3:6]), int(d[6:])
+        if area >= 200 and exch >= 200:
+            l, r = self.feistel("phone", "", (area - 200) * 800 + exch - 200, line, 640000, 10000)
+            area, exch = l // 800 + 200, l % 800 + 200
+        else:
+            l, r = self.feistel("phone", "unplanned", area * 1000 + exch if area < 200 else 200000 + (area - 200) * 200 + exch, line, 360000, 10000)
+            area, exch = divmod(l, 1000) if l < 200000 else ((l - 200000) // 200 + 200, (l - 200000) % 200)
+        return self.refill(m, f"{area:03d}{exch:03d}{r:04d}")
+
+    def card(self, m):
+        d = re.sub("[^0-9]", "", m)
+        if luhn(d) is False:
+            return None
+        n, nl = len(d), (len(d) - 2) // 2
+        l, r = self.feistel("card", n, int(d[1 : 1 + nl]), int(d[1 + nl : n - 1]), 10**nl, 10 ** (n - 2 - nl))
+        body = f"{d[0]}{l:0{nl}d}{r:0{n - 2 - nl}d}"
+        return self.refill(m, next(body + str(c) for c in range(10) if luhn(body + str(c))))
+
+    def email(self, m):
+        m = m[:-1]
+        base = lambda c: "a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else None
+        radix = lambda c: 26 if c.isalpha() else 10 if c.isdigit() else 1
+        char = lambda c, v: chr(ord(base(c)) + v) if base(c) else c
+        place = lambda c: ord(c) - ord(base(c)) if base(c) else 0
+        nc = min(len(m), 24)
+        half = -(-nc // 2)
+        sides = m[:half], m[half:nc]
+        value, span = [0, 0], [1, 1]
+        for k, s in enumerate(sides):
+            for c in s:
+                value[k], span[k] = value[k] * radix(c) + place(c), span[k] * radix(c)
+        l, r = self.feistel("email", re.sub("[0-9]", "9", re.sub("[a-zA-Z]", "a", m)), *value, *span)
+        out = ""
+        for s, v in zip(sides, (l, r)):
+            part = ""
+            for c in reversed(s):
+                v, x = divmod(v, radix(c))
+                part = char(c, x) + part
+            out += part
+        return out + "".join(char(c, (place(c) + self.keyed("rest", i, l, r) % radix(c)) % radix(c)) for i, c in enumerate(m[nc:])) + "@"
+
+    def text(self, t):
+        found = []
+
+        def new(m):
+            x = getattr(self, m.lastgroup)(m[0])
+            if x is not None:
+                found.append(f"{m.lastgroup}:{x.removesuffix('@')}")
+            return m[0] if x is None else x
+
+        out = self.any.sub(new, t)
+        return out, "|".join(found)
+
+
+def test_pseudonyms_against_plain_python(spark):
+    plain = PlainPseudonyms(Q.TEST_KEY)
+    rows = {r.doc_id: r for r in Q.op10_pseudonyms(spark, SF).collect()}
+    kinds = collections.Counter()
+    for i, t, _ in docs_of():
+        text, found = plain.text(t)
+        assert (rows[i].text, rows[i].pseudonyms) == (text, found), i
+        kinds.update(x.split(":")[0] for x in found.split("|") if x)
+        assert all(rows[i][f"n_{k}"] == sum(x.startswith(k + ":") for x in found.split("|")) for k in KINDS)
+    assert len(kinds) >= 3
+    extra = ["a.b_c-1@x.org ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789@y.org", "123-45-6789 899-01-0001 667-99-9999", "4111-1111-1111-1111 378282246310005 6011 0000 0000 0004", "1.2.3.4 255.255.255.255 2000-02-29 1900-01-01 2099-12-31", "+1 (017) 555-5036 (200) 200-0000 (999) 199-9999 212-555-0100"]
+    out = pseudonymize(spark.createDataFrame(list(enumerate(extra)), "doc_id bigint, text string"), Q.TEST_KEY).collect()
+    assert {r.doc_id: r.text for r in out} == {i: plain.text(t)[0] for i, t in enumerate(extra)}
+
+
 CLASHING = ["Doc_ID", "TEXT", "N_Lines", "Score", "IDS", "Leaks", "Found", "Media", "__el_gone", "__el_text", "K"]
 
 
