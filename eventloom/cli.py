@@ -140,6 +140,8 @@ def _codes(args: argparse.Namespace) -> None:
 def run(args: argparse.Namespace) -> None:
     if args.command != "codes":
         check_window(args.start_date, args.end_date)
+    if args.command == "codes" and not configs.given(args.config):
+        return _codes(args)
     cfg = configs.load(args.config)
     if cfg["code_lists"]:
         codes.load_folder(cfg["code_lists"])

@@ -44,6 +44,11 @@ def _read(path: str) -> dict[str, Any]:
     return json.loads(text)
 
 
+def given(path: str | None = None) -> bool:
+    """Is there a configuration to read, without writing one?"""
+    return bool(path or os.environ.get(ENV) or os.path.exists(DEFAULT_PATH))
+
+
 def load(path: str | None = None) -> dict[str, Any]:
     """From the path, else the environment, else the default place, where the defaults are written if nothing is there."""
     chosen = path or os.environ.get(ENV)
