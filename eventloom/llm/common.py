@@ -17,6 +17,9 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Arrow batches between the JVM and Python workers hold no more than this, or one row if it is longer.
 ARROW_BYTES, ARROW_ROWS = 4 << 20, 2000
 
+#: Spark's setting by which shuffle files go at the end of a query.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _written: dict[str, list[str]] = {}
 
 
@@ -68,7 +71,12 @@ def materialize(df: DataFrame, label: str, tasks: int | None = None) -> DataFram
     if tasks:
         df = df.coalesce(tasks)
     path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    was = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")  # the table is whole then, and the shuffles behind it are of no more use
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, was)
     _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -106,13 +114,12 @@ class Tables:
         return out
 
     def drop(self, *tables: DataFrame) -> None:
-        """Delete tables that no result hangs on any more, and let Spark's cleaner see the shuffles behind them."""
+        """Delete tables that no result hangs on any more."""
         gone = [self.paths.pop(id(t))[1] for t in tables]
         _delete(self.spark, gone)
         left = _written[self.spark.sparkContext.applicationId]
         for p in gone:
             left.remove(p)
-        self.spark.sparkContext._jvm.System.gc()
 
     def keep(self, *tables: DataFrame) -> None:
         """Delete all but these."""

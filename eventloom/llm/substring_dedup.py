@@ -355,7 +355,6 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
     windows = tables.write(_window_rows(marked, window), "windows")
     tables.drop(names)
     twice = tables.write(windows.groupBy("h1", "h2").agg(F.sum("n").alias("m")).where("m > 1").select("h1", "h2"), "twice")
-    tables.drop()
     hits = tables.write(windows.join(known.select("k"), "k", "left_anti").join(twice, ["h1", "h2"], "left_semi").groupBy("k").agg(F.collect_set("h1").alias("hits")), "hits")
     tables.drop(windows, twice)
     joined = base.join(hits, "k", "left").join(known.select("k", "copied"), "k", "left")
