@@ -12,6 +12,11 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def group_counts(df: DataFrame, by: list[str]) -> DataFrame:
+    """The keys and n, the rows of each."""
+    return df.groupBy(*map(_q, by)).agg(F.count("*").alias("n"))
+
+
 def equal_rate(df: DataFrame, a: str, b: str, by: list[str] | None = None) -> DataFrame:
     """n and n_same: rows, and those in which two columns hold the same value; for each group, if asked."""
     return df.groupBy(*map(_q, by or [])).agg(F.count("*").alias("n"), F.count_if(_q(a) == _q(b)).alias("n_same"))

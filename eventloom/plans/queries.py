@@ -54,7 +54,7 @@ def values(rows: list[tuple], name: str, columns: str) -> str:
 
 @query("SELECT l_orderkey, l_partkey, l_quantity FROM lineitem WHERE l_quantity > 45")
 def scan_project(spark, d):
-    return table(spark, d, "lineitem").where("l_quantity > 45").select("l_orderkey", "l_partkey", "l_quantity")
+    return ingest.read_parquet_dir(spark, f"{d}/lineitem.parquet").where("l_quantity > 45").select("l_orderkey", "l_partkey", "l_quantity")
 
 
 #: File names by orders' days, as SQL that both engines read: of all kinds, and some of no valid period.
@@ -188,7 +188,7 @@ def hive_partition(spark, d):
 
 @query(f'SELECT "Year", "MonthYear", count(*)::BIGINT AS n FROM ({_HIVE}) GROUP BY ALL')
 def hive_partition_counts(spark, d):
-    return _hive(spark, d).groupBy("Year", "MonthYear").agg(F.count("*").alias("n"))
+    return measures.group_counts(_hive(spark, d), ["Year", "MonthYear"])
 
 
 @query("SELECT 'orders.parquet' AS file, count(*)::BIGINT AS n FROM orders")

@@ -4,6 +4,7 @@ import math
 import os
 
 import duckdb
+import numpy as np
 import pytest
 
 from eventloom.plans.queries import ORACLES, QUERIES
@@ -35,5 +36,8 @@ def test_against_sql(spark, con, name):
     assert ours == sorted(tuple(map(plain, r)) for r in found)
 
 
-def test_exact_index(spark):
-    assert QUERIES["sample_exact_index"](spark, SF).count() == 100
+def test_exact_index(spark, con):
+    """The rows at the positions that numpy draws, in order of the file."""
+    keys = [k for (k,) in con.execute(f"SELECT o_orderkey FROM read_parquet('{SF}/orders.parquet', file_row_number = true) ORDER BY file_row_number").fetchall()]
+    drawn = np.sort(np.random.default_rng(42).choice(len(keys), size=100, replace=False))
+    assert [r.o_orderkey for r in QUERIES["sample_exact_index"](spark, SF).collect()] == [keys[g] for g in drawn]
