@@ -21,7 +21,8 @@ def null_spelled(c: Column) -> Column:
 def to_number(c: Column, kind: str = "double") -> Column:
     """A number, or null for anything else; whole numbers are cut from reals such as "3.0"."""
     t = F.btrim(c, F.lit(" \t\r\n"))
-    value = F.when(t.rlike(NUMBER), t)
+    # casts take some words and suffixes for numbers too; with these characters alone they take what NUMBER says
+    value = F.when(F.translate(t, "0123456789+-.eE", "") == "", t)
     if kind == "bigint":
         return F.coalesce(value.try_cast("bigint"), value.try_cast("double").try_cast("bigint"))
     return value.try_cast(kind)

@@ -93,13 +93,15 @@ def parse_tsv(lines: DataFrame, dataset: str | DatasetSpec, keep: list[str] | No
     if s.header:
         first = F.col("_src_row") == 0 if "_src_row" in rest else F.lower(F.split_part(F.col(line_col), F.lit("\t"), F.lit(1))) == s.columns[0].lower()
         rows = rows.where(~first)
-    parsed = rows.select(F.from_csv(line_col, raw.simpleString()[7:-1].replace(":", " "), {"sep": "\t", "mode": "PERMISSIVE"}).alias("r"), *rest)
-    parsed = parsed.where(F.col(f"r.c{len(s.columns)}").isNull())
+    # inlined, so that a line is parsed once: neither the filter nor the columns can take the parser with them
+    record = F.from_csv(line_col, raw.simpleString()[7:-1].replace(":", " "), {"sep": "\t", "mode": "PERMISSIVE"})
+    parsed = rows.select(F.inline(F.array(record)), *rest)
+    parsed = parsed.where(F.col(f"c{len(s.columns)}").isNull())
     out = []
     for i, f in enumerate(s.schema):
         if f in wanted:
-            c = null_spelled(F.col(f"r.c{i}"))
-            out.append((c if isinstance(f.dataType, T.StringType) else to_number(c, f.dataType.simpleString())).alias(f.name))
+            c = F.col(f"c{i}")  # no spelling of null is a number
+            out.append((null_spelled(c) if isinstance(f.dataType, T.StringType) else to_number(c, f.dataType.simpleString())).alias(f.name))
     return parsed.select(*out, *rest)
 
 
