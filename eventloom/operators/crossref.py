@@ -12,7 +12,6 @@ import logging
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..sources.specs import spec
 
@@ -82,11 +81,10 @@ ADDRESS = ("_at_file", "_at_row")
 
 def _addressed(df: DataFrame) -> DataFrame | None:
     """The table with each row's place in its files; None if it isn't read straight from files."""
-    name, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
-    try:
-        return df.select("*", name.alias(ADDRESS[0]), row.alias(ADDRESS[1]))
-    except AnalysisException:
+    hidden = df._jdf.queryExecution().analyzed().metadataOutput()  # asked, since a failed selection is logged as an error
+    if "_metadata" not in (hidden.apply(i).name() for i in range(hidden.size())):
         return None
+    return df.select("*", F.col("_metadata.file_path").alias(ADDRESS[0]), F.col("_metadata.row_index").alias(ADDRESS[1]))
 
 
 def collapse_mentions(mentions: DataFrame, keys: tuple[str, str], best: str | None, ties: list[Column], count_as: str = "Mention_Count") -> DataFrame:

@@ -68,8 +68,9 @@ _NAMED = f"(SELECT id, CASE id % {len(_ENDINGS)} " + " ".join(f"WHEN {i} THEN {e
 
 
 def both_sql(spark: SparkSession, d: str, sql: str) -> DataFrame:
-    """SQL over orders that Spark and the other engine read alike."""
-    return spark.sql(sql.replace("FROM orders", "FROM {orders}"), orders=table(spark, d, "orders"))
+    """SQL over orders that Spark and the other engine read alike; inlined, so that later expressions don't repeat it."""
+    rows = spark.sql(sql.replace("FROM orders", "FROM {orders}"), orders=table(spark, d, "orders"))
+    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
 
 
 _LIST_LINES = f"""(SELECT id, CASE id % 5 WHEN 0 THEN CAST(id AS STRING) || ' ' || upper(md5(f)) || ' http://x.org/v2/' || f WHEN 1 THEN '  ' || CAST(id AS STRING) || chr(9) || 'cc   http://x.org/v2/' || f || ' '
