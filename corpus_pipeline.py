@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import materialize, need, positional, read_table
+from eventloom.llm.common import materialize, need, positional, read_table, release, written
 from eventloom.llm.decontaminate import find_leaks
 from eventloom.llm.language import UNKNOWN, held_out, identify, train
 from eventloom.llm.line_dedup import dedup_lines
@@ -79,7 +79,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs, others = read_table(spark, sf_dir, "documents"), set(written(spark))
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        release(spark, but=others | {written(spark)[-1]})  # all that the stage was made from
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -126,11 +126,17 @@ class Tables:
         self.drop(*(t for t, _ in list(self.paths.values()) if not any(t is k for k in tables)))
 
 
-def release(spark: SparkSession) -> int:
-    """Delete the tables that operators have left; only when no DataFrame built on them is needed."""
-    paths = _written.pop(spark.sparkContext.applicationId, [])
-    _delete(spark, paths)
-    return len(paths)
+def written(spark: SparkSession) -> list[str]:
+    """Where the tables lie that operators have left, the last one last."""
+    return list(_written.get(spark.sparkContext.applicationId, ()))
+
+
+def release(spark: SparkSession, but: set[str] = frozenset()) -> int:
+    """Delete the tables that operators have left, but for some; only when no DataFrame built on them is needed."""
+    gone = [p for p in written(spark) if p not in but]
+    _delete(spark, gone)
+    _written[spark.sparkContext.applicationId] = [p for p in written(spark) if p in but]
+    return len(gone)
 
 
 def need(df: DataFrame, *names: str) -> None:

@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventloom.llm import queries as Q
+from eventloom.llm.common import release, written
 from eventloom.llm.components import components
 from eventloom.llm.decontaminate import Index, find_leaks, question_answer
 from eventloom.llm.language import held_out, identify, train, trigram_counts
@@ -878,7 +879,11 @@ def test_pipeline(spark):
     clean = [(i, t) for i, t in rows if not index.leaks(t)]
     bpe = PieceBpe(Q.tokenizer_path("piece_bpe_32k.model"))
     want = {i: hashlib.sha256(",".join(map(str, bpe.processor.encode(t))).encode()).hexdigest() for i, t in clean}
+    before = set(written(spark))
     assert {r.doc_id: r.ids_sha256 for r in P.run(spark, SF).collect()} == want
+    assert len(set(written(spark)) - before) == 1  # the table that the last stage reads; the others are gone
+    release(spark, but=before)
+    assert set(written(spark)) == before
     assert [n for n, _ in P.STAGES] == ["language", "lines", "near_duplicates", "benchmark", "pieces"]
 
 
